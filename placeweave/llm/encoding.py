@@ -10,19 +10,22 @@ whole, so the ids always equal those of one call on the whole text.
 from __future__ import annotations
 
 import os
-
-import numpy as np
+import sys
+from array import array
 
 _BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace()]
 #: White space, in the broadest sense, before a space.
 _UNSAFE_ASCII = [c + " " for c in _BLANKS if c.isascii()]
 _UNSAFE = [c + " " for c in _BLANKS]
+#: Marks a piece that begins its text.
+FIRST = "\x00"
+assert sys.byteorder == "little" and array("I").itemsize == 4
 _ENCODERS: dict[tuple[str, bool], "PieceEncoder"] = {}
 
 
 def _parts_at_spaces(text: str) -> bool:
     """Whether each space stands alone between other characters."""
-    if text.startswith(" ") or text.endswith(" "):
+    if text.startswith(" ") or text.endswith(" ") or FIRST in text:
         return False
     return not any(pair in text for pair in (_UNSAFE_ASCII if text.isascii() else _UNSAFE))
 
@@ -41,35 +44,42 @@ class PieceEncoder:
     """Encodes texts to little-endian uint32 ids with a bounded cache of space-separated pieces.
 
     ``keeps_space``: the tokenizer joins a space to the word after it (byte-level BPE); otherwise
-    white space only separates and letter case is dropped.  ``max_pieces`` bounds the cache; a
-    full cache is emptied.
+    white space only separates and letter case is dropped.  The cache has two generations of about
+    ``generation`` pieces: when the younger is full the older goes, so frequent pieces stay.
     """
 
-    def __init__(self, path: str, keeps_space: bool, max_pieces: int = 1_000_000):
+    def __init__(self, path: str, keeps_space: bool, generation: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.keeps_space = keeps_space
-        self.max_pieces = max_pieces
-        self.inner: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {} if keeps_space else self.inner
+        self.generation = generation
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Ids of each text from one library call on the whole texts."""
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def _learn(self, known: dict[str, bytes], wanted: set[str], lead: str) -> None:
-        if new := list(wanted - known.keys()):
-            known.update(zip(new, self.whole([lead + p for p in new] if lead else new)))
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _learn(self, wanted: set[str]) -> None:
+        if len(self.young) > self.generation:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new = wanted - young.keys()
+        if again := new & old.keys():
+            young.update((p, old[p]) for p in again)
+            new -= again
+        if new:
+            names = list(new)
+            # A piece that begins a text is marked; the others follow a space.
+            plain = [p[1:] if p[:1] == FIRST else " " + p for p in names] if self.keeps_space else names
+            young.update(zip(names, self.whole(plain)))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text (None counts as empty) as little-endian uint32 bytes."""
-        if len(self.inner) + len(self.first) > self.max_pieces:
-            self.inner.clear()
-            self.first.clear()
         kept: list[str] = []  # texts encoded whole
         parts: list[list[str] | None] = []
         for text in texts:
@@ -77,19 +87,13 @@ class PieceEncoder:
             if not self.keeps_space:
                 parts.append(_lowered(text).split(" "))
             elif _parts_at_spaces(text):
-                parts.append(text.split(" "))
+                parts.append((FIRST + text).split(" "))
             else:
                 parts.append(None)
                 kept.append(text)
-        lead = " " if self.keeps_space else ""
-        if self.keeps_space:
-            self._learn(self.first, {p[0] for p in parts if p}, "")
-        self._learn(self.inner, set().union(*[p[1:] if lead else p for p in parts if p]), lead)
-        whole, at, first = iter(self.whole(kept) if kept else ()), self.inner.__getitem__, self.first
-        return [
-            next(whole) if p is None else b"".join([first[p[0]], *map(at, p[1:])])
-            for p in parts
-        ]
+        self._learn(set().union(*[p for p in parts if p]))
+        whole, at = iter(self.whole(kept) if kept else ()), self.young.__getitem__
+        return [next(whole) if p is None else b"".join(map(at, p)) for p in parts]
 
 
 def encoder(path: str, keeps_space: bool) -> PieceEncoder:

@@ -212,8 +212,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, keeps_space:
         def entries() -> Iterator[tuple[int | None, np.ndarray]]:
             for batch in batches:
                 ids, texts = batch["doc_id"].tolist(), batch["text"].tolist()
-                for at in range(0, len(texts), 512):
-                    for doc_id, found in zip(ids[at : at + 512], encode.encode(texts[at : at + 512])):
+                for at in range(0, len(texts), 8192):
+                    for doc_id, found in zip(ids[at : at + 8192], encode.encode(texts[at : at + 8192])):
                         yield None if pd.isna(doc_id) else int(doc_id), np.frombuffer(found + end, dtype="<u4")
 
         for section in build(entries(), TaskContext.get().partitionId()):
