@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, quality_rules, sstable
+from . import exact_dedup, license_scan, packing, quality_rules, sstable, url_rules
 from .shared import shared_dir
 
 
@@ -37,6 +37,69 @@ SELECT doc_id, keep_id, group_size, k = 1 AS kept, text_sha256 FROM r
 """
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judge(pages, url_rules.LISTED + url_rules.PATTERNS).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _rule_values(rules: list[url_rules.Rule]) -> str:
+    quoted = ["(" + ", ".join("'" + x.replace("'", "''") + "'" for x in (r.name, r.regex, r.action)) + ")" for r in rules]
+    return ", ".join(quoted)
+
+
+OP5_SQL = f"""
+WITH listed(name, rx, action) AS (VALUES {_rule_values(url_rules.LISTED)}),
+patterns(name, rx, action) AS (VALUES {_rule_values(url_rules.PATTERNS)}),
+p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+v AS (SELECT page_id, host, path,
+  (SELECT name FROM listed WHERE regexp_matches(p.host || p.path, rx) ORDER BY length(name) DESC, name DESC LIMIT 1) AS rule,
+  (SELECT action FROM listed WHERE regexp_matches(p.host || p.path, rx) ORDER BY length(name) DESC, name DESC LIMIT 1) AS a,
+  (SELECT action FROM patterns WHERE regexp_matches(p.host || p.path, rx) ORDER BY length(name) DESC, name DESC LIMIT 1) AS b
+  FROM p)
+SELECT page_id, host, path, rule, coalesce(a, b, 'allow') AS verdict FROM v
+"""
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan(docs).select("doc_id", "license", "dice", "n_notices")
+
+
+def _template_values() -> str:
+    rows = [
+        "('" + name + "', [" + ", ".join(f"'{g}'" for g in license_scan.bigrams(text)) + "])"
+        for name, text in license_scan.TEMPLATES.items()
+    ]
+    return ", ".join(rows)
+
+
+OP6_SQL = f"""
+WITH templates(name, grams) AS (VALUES {_template_values()}),
+c AS (SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '[^a-z0-9\n]+', ' ', 'g') AS t FROM documents),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS s FROM c),
+paragraphs AS (SELECT doc_id, unnest(regexp_split_to_array(t, '\n *\n[ \n]*')) AS s FROM c),
+spans AS (SELECT doc_id, trim(regexp_replace(s, '[ \n]+', ' ', 'g')) AS s FROM
+          (SELECT * FROM lines UNION ALL
+           SELECT * FROM paragraphs WHERE instr(trim(replace(s, chr(10), '|')), '|') > 0)),
+w AS (SELECT row_number() OVER () AS span, doc_id, string_split(s, ' ') AS w FROM spans
+      WHERE length(s) - length(replace(s, ' ', '')) BETWEEN 1 AND 400),
+g AS (SELECT span, doc_id, len(w) - 1 AS n, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS g FROM w),
+m AS (SELECT span, doc_id, name, 2.0::DOUBLE * len(list_intersect(g, grams)) / (n + len(grams)) AS dice
+      FROM g, templates WHERE n <= 1.5 * len(grams) + 1 AND len(grams) <= 1.5 * n + 1),
+best AS (SELECT span, doc_id, max(struct_pack(dice := dice, name := name)) AS b FROM m WHERE dice >= {license_scan.LEAST} GROUP BY ALL),
+d AS (SELECT doc_id, max(b) AS b, count(*) AS n FROM best GROUP BY doc_id)
+SELECT doc_id, b.name AS license, b.dice AS dice, coalesce(n, 0)::BIGINT AS n_notices
+FROM documents LEFT JOIN d USING (doc_id)
+"""
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality_rules.judge(docs, _table(spark, sf_dir, "labels"), carry=["doc_id"])
@@ -45,6 +108,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sstable": op1_sstable,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_packing": op3_packing,
+    "op5_url_rules": op5_url_rules,
+    "op6_license_scan": op6_license_scan,
     "op8_quality_rules": op8_quality_rules,
 }
-ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op2_exact_dedup": OP2_SQL,
+    "op5_url_rules": OP5_SQL,
+    "op6_license_scan": OP6_SQL,
+}
