@@ -19,6 +19,8 @@ from pyspark.sql import Window as W
 FREQUENT_ROWS, FREQUENT_SHARE = 256, 1e-5
 #: Runs into which a frequent text's rows are dealt.
 SALTS = 64
+#: Characters of a text in the key of the range partitioning.
+HEAD = 64
 
 
 def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", keep: str = "min", normalise=None) -> DataFrame:
@@ -46,10 +48,13 @@ def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", keep:
         .withColumn("__salt", F.when(F.col("__often"), F.pmod(F.xxhash64(key, F.lit(1)), F.lit(SALTS))).otherwise(F.lit(0)))
         .drop("__hash")
     )
-    # RangePartitioning by (text, salt) already clusters the window below, so nothing is shuffled twice.
-    ranged = salted.repartitionByRange("__text", "__salt").sortWithinPartitions("__text", "__salt")
+    # RangePartitioning by that key already clusters the window below, so nothing is shuffled twice.
+    # Splitters are sampled to the driver, so the range key is the text's beginning and a hash of the
+    # rest; equal texts have equal keys, and what is compared with the neighbour is the whole text.
+    keyed = salted.withColumns({"__head": F.substring("__text", 1, HEAD), "__hash": F.xxhash64("__text")})
+    ranged = keyed.repartitionByRange("__head", "__hash", "__salt")  # the window sorts each range, externally
     first = F.col(key).asc_nulls_last() if keep == "min" else F.col(key).desc_nulls_last()
-    run = W.partitionBy("__text", "__salt")
+    run = W.partitionBy("__head", "__hash", "__salt", "__text")
     runs = (
         ranged.withColumn("__rank", F.row_number().over(run.orderBy(first)))
         .withColumn("keep_id", F.first(key).over(run.orderBy(first)))
