@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, license_scan, packing, quality_rules, sstable, url_rules
+from . import (
+    exact_dedup, license_scan, ngram_join, packing, preferences, quality_rules, sentencepiece_bridge, sstable, toxicity, url_rules,
+)
 from .shared import shared_dir
 
 
@@ -42,6 +44,46 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+def op4_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of neighbouring conversations: the even identifier is chosen, the odd one rejected."""
+    turns = _table(spark, sf_dir, "conversations").select(
+        F.expr("conv_id div 2").alias("pair_id"), F.when(F.pmod("conv_id", F.lit(2)) == 0, "chosen").otherwise("rejected").alias("side"),
+        "turn", "role", "text",
+    )
+    pairs = preferences.format_pairs(turns)
+    size = lambda c: F.coalesce(F.length(c), F.lit(0)).cast("long")
+    trained = lambda c: F.coalesce(F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"]), F.lit(0))
+    return pairs.select(
+        "pair_id", F.col("n_prefix").cast("long").alias("n_prefix"),
+        size("prompt").alias("prompt_chars"), size("chosen").alias("chosen_chars"), size("rejected").alias("rejected_chars"),
+        trained("chosen_spans").alias("chosen_trained"), trained("rejected_spans").alias("rejected_trained"),
+        *[F.sha2(F.coalesce(c, F.lit("")).cast("binary"), 256).alias(f"{c}_sha256") for c in ("prompt", "chosen", "rejected")],
+    )
+
+
+OP4_SQL = """
+WITH t AS (SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, role, text,
+             '<|' || replace(coalesce(role, ''), '<|', '< |') || '|>' || chr(10) AS head,
+             replace(coalesce(text, ''), '<|', '< |') || '<|end|>' || chr(10) AS body,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i
+           FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT pair_id, least(count(*) FILTER (side = 0), count(*) FILTER (side = 1)) AS both FROM t GROUP BY pair_id),
+x AS (SELECT a.pair_id, min(a.i) - 1 AS first FROM t a JOIN t b ON a.pair_id = b.pair_id AND a.i = b.i AND a.side = 0 AND b.side = 1
+      WHERE a.role IS DISTINCT FROM b.role OR a.text IS DISTINCT FROM b.text GROUP BY a.pair_id),
+p AS (SELECT n.pair_id, coalesce(x.first, n.both) AS n_prefix FROM n LEFT JOIN x USING (pair_id)),
+s AS (SELECT pair_id, n_prefix,
+        coalesce(string_agg(head || body, '' ORDER BY i) FILTER (side = 0 AND i <= n_prefix), '') AS prompt,
+        coalesce(string_agg(head || body, '' ORDER BY i) FILTER (side = 0 AND i > n_prefix), '') AS chosen,
+        coalesce(string_agg(head || body, '' ORDER BY i) FILTER (side = 1 AND i > n_prefix), '') AS rejected,
+        coalesce(sum(length(body)) FILTER (side = 0 AND i > n_prefix AND role = 'assistant'), 0)::BIGINT AS chosen_trained,
+        coalesce(sum(length(body)) FILTER (side = 1 AND i > n_prefix AND role = 'assistant'), 0)::BIGINT AS rejected_trained
+      FROM t JOIN p USING (pair_id) GROUP BY pair_id, n_prefix)
+SELECT pair_id, n_prefix, length(prompt) AS prompt_chars, length(chosen) AS chosen_chars, length(rejected) AS rejected_chars,
+       chosen_trained, rejected_trained, sha256(prompt) AS prompt_sha256, sha256(chosen) AS chosen_sha256,
+       sha256(rejected) AS rejected_sha256 FROM s
+"""
+
+
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return url_rules.judge(pages, url_rules.LISTED + url_rules.PATTERNS).select("page_id", "host", "path", "rule", "verdict")
@@ -100,21 +142,40 @@ FROM documents LEFT JOIN d USING (doc_id)
 """
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_bridge.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality_rules.judge(docs, _table(spark, sf_dir, "labels"), carry=["doc_id"])
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.judge(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sstable": op1_sstable,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_packing": op3_packing,
+    "op4_preferences": op4_preferences,
     "op5_url_rules": op5_url_rules,
     "op6_license_scan": op6_license_scan,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_quality_rules": op8_quality_rules,
+    "op9_toxicity": op9_toxicity,
+    "op10_ngram_join": op10_ngram_join,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": OP2_SQL,
+    "op4_preferences": OP4_SQL,
     "op5_url_rules": OP5_SQL,
     "op6_license_scan": OP6_SQL,
 }
