@@ -55,14 +55,16 @@ def shingles(text: str | None, n: int = WORDS) -> np.ndarray:
         return np.empty(0, "uint64")
     if len(_WORDS) > 400_000:
         _WORDS.clear()
-    for w in set(words) - _WORDS.keys():
+    for w in [w for w in set(words) if w not in _WORDS]:
         _WORDS[w] = xxhash.xxh64_intdigest(w)
     h = np.fromiter(map(_WORDS.__getitem__, words), "uint64", len(words))
     k = min(n, len(h))
+    # A polynomial in an odd number over the words' hashes, which are themselves well spread.
     out = np.full(len(h) - k + 1, k, "uint64")
     for i in range(k):
-        out = _mixed(out + np.uint64(0x9E3779B97F4A7C15) ^ h[i : len(h) - k + 1 + i])
-    return np.unique(out)
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += h[i : len(h) - k + 1 + i]
+    return np.unique(_mixed(out))
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -163,13 +165,12 @@ def _bit(ids: np.ndarray) -> np.ndarray:
     return (_mixed(ids.astype("int64").view("uint64")) & np.uint64(WANTED_BITS - 1)).astype("int64")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``pairs`` (x, y) whose documents reach the threshold.
+def sets_of(docs: DataFrame, ids: DataFrame, text: str = "text", n: int = WORDS) -> DataFrame:
+    """(id, s): the sets, as sorted uint64 bytes, of the documents named in ``ids`` (id, distinct).
 
-    Only the sets of documents that occur in pairs are shuffled: a table of bits, which has a fixed
-    size, lets through those and, in a very large join, some more.
+    Only those sets are shuffled: a table of bits, which has a fixed size, lets through those and,
+    in a very large join, some more.
     """
-    ids = pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id"))).distinct()
     bits = docs.sparkSession.sparkContext.broadcast(_wanted(ids))
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -179,16 +180,19 @@ def verified(docs: DataFrame, pairs: DataFrame, text: str = "text", n: int = WOR
             batch = batch[(bits.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)]
             yield pd.DataFrame({"id": batch["doc_id"].astype("int64"), "s": [shingles(t, n).tobytes() for t in batch["text"]]})
 
+    return _texts(docs, text).mapInPandas(sets, "id long, s binary").join(ids, "id", "left_semi")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``pairs`` (x, y) whose sets reach the threshold."""
+
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             good = [similar(np.frombuffer(a, "uint64"), np.frombuffer(b, "uint64"), percent) for a, b in zip(batch["s"], batch["t"])]
             yield batch.loc[good, ["x", "y"]]
 
-    # Repeated identifiers: a class is named by one document's set, the one with the smaller text hash.
-    every = _texts(docs, text).mapInPandas(sets, "id long, s binary")
-    one = every.join(ids, "id", "left_semi")
-    left = pairs.join(one.withColumnRenamed("id", "x"), "x")
-    both = left.join(one.select(F.col("id").alias("y"), F.col("s").alias("t")), "y")
+    left = pairs.join(sets.withColumnRenamed("id", "x"), "x")
+    both = left.join(sets.select(F.col("id").alias("y"), F.col("s").alias("t")), "y")
     return both.select("x", "y", "s", "t").mapInPandas(check, "x long, y long").distinct()
 
 
@@ -217,6 +221,8 @@ def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PER
     lists = written(shared.groupBy("k", "who").agg(F.min("token").alias("token")).select("token"), "lists")
     members = written(postings.join(lists, "token").select("token", "c", "n", "i"), "members")
 
+    sets = written(sets_of(docs, members.select(F.col("c").alias("id")).distinct(), text, n), "sets")
+
     tested = links = None
     joined = members.withColumn("component", F.col("c"))
     pairs_of = lambda df: df.select(F.least("c", "d").alias("x"), F.greatest("c", "d").alias("y")).distinct()
@@ -235,7 +241,7 @@ def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PER
             if turn < STARS:
                 continue
             break
-        new = verified(docs, pairs, text, n, percent)
+        new = verified(pairs, sets, percent)
         links = written(links.unionByName(new) if links else new, "links")
         tested = tested.unionByName(pairs) if tested else pairs
         tied = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))

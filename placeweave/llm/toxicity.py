@@ -153,7 +153,7 @@ def scorer(model: Model):
             features = []
             for text in texts:
                 words = set(WORD.findall(text.lower())) if text else set()
-                for w in words - cache.keys():
+                for w in [w for w in words if w not in cache]:
                     cache[w] = tuple(place[t] for t in terms(w) if t in place)
                 found = {f for w in words if (hit := cache[w]) for f in hit}
                 features.append(np.fromiter(sorted(found), "int64", len(found)))
