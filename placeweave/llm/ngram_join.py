@@ -18,10 +18,12 @@ the other (suffix filter).
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +33,24 @@ from .shared import written
 
 WORDS, PERCENT = 5, 75
 #: Counters of the rarity table, and the bits that say which sets are wanted: fixed sizes, whatever the input.
-COUNTERS, BLOCKS, WANTED_BITS = 1 << 22, 64, 1 << 24
+COUNTERS, BLOCKS, WANTED_BITS = 1 << 22, 64, 1 << 26
 #: Rounds in which a list's members are compared with one of them.
 STARS = 3
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-_WORDS: dict[bytes, int] = {}
+#: Bytes that part words; a random number for each byte, the same for A-Z as for a-z; an odd base and its inverse.
+_PARTS = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_BYTES = np.random.default_rng(20).integers(0, 2**64, 256, "uint64")
+_BYTES[65:91] = _BYTES[97:123]
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = {"base": np.ones(1, "uint64"), "inverse": np.ones(1, "uint64")}
+
+
+def _powers(kind: str, n: int) -> np.ndarray:
+    """The first n powers of the base or its inverse, modulo 2**64; kept and grown as needed."""
+    if len(_POWERS[kind]) < n:
+        step = np.full(max(n, 1 << 16) * 2, _BASE if kind == "base" else pow(_BASE, -1, 2**64), "uint64")
+        step[0] = 1
+        _POWERS[kind] = np.cumprod(step)
+    return _POWERS[kind][:n]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -50,19 +65,25 @@ def shingles(text: str | None, n: int = WORDS) -> np.ndarray:
 
     A-Z is lower-cased; words are parted by ASCII white space.  Empty for no words or a null text.
     """
-    words = text.encode("utf-8", "replace").translate(_LOWER).split() if text else []
-    if not words:
+    if not text:
         return np.empty(0, "uint64")
-    if len(_WORDS) > 400_000:
-        _WORDS.clear()
-    for w in [w for w in set(words) if w not in _WORDS]:
-        _WORDS[w] = xxhash.xxh64_intdigest(w)
-    h = np.fromiter(map(_WORDS.__getitem__, words), "uint64", len(words))
+    raw = np.frombuffer(text.encode("utf-8", "replace"), "uint8")
+    inside = np.zeros(len(raw) + 2, "int8")
+    inside[1:-1] = ~_PARTS[raw]
+    edges = np.flatnonzero(np.diff(inside))
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.empty(0, "uint64")
+    # Polynomial hashes of all words from one running sum over the bytes; the length goes in as well.
+    sums = np.zeros(len(raw) + 1, "uint64")
+    np.cumsum(_BYTES[raw] * _powers("base", len(raw)), out=sums[1:])
+    h = (sums[ends] - sums[starts]) * _powers("inverse", len(raw))[starts]
+    h = _mixed(h + (ends - starts).astype("uint64"))
     k = min(n, len(h))
     # A polynomial in an odd number over the words' hashes, which are themselves well spread.
     out = np.full(len(h) - k + 1, k, "uint64")
     for i in range(k):
-        out *= np.uint64(0x9E3779B97F4A7C15)
+        out *= np.uint64(_BASE)
         out += h[i : len(h) - k + 1 + i]
     return np.unique(_mixed(out))
 
@@ -87,12 +108,16 @@ def _texts(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col(text).alias("text"))
 
 
+def _squeezed(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.astype("<u4").tobytes(), 1)
+
+
 def _summed(parts: DataFrame) -> DataFrame:
     """(block, counts) summed up by block: as many rows as there are blocks."""
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, "<u4").astype("uint64") for x in frame["counts"])
-        return pd.DataFrame({"block": [frame["block"].iloc[0]], "counts": [np.minimum(total, 2**32 - 1).astype("<u4").tobytes()]})
+        total = sum(np.frombuffer(zlib.decompress(x), "<u4").astype("uint64") for x in frame["counts"])
+        return pd.DataFrame({"block": [frame["block"].iloc[0]], "counts": [_squeezed(np.minimum(total, 2**32 - 1))]})
 
     # Two steps, so that no task adds up more than a few tables of a block.
     step = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16))).groupBy("block", "salt").applyInPandas(add, "block int, counts binary")
@@ -109,12 +134,12 @@ def rarity(docs: DataFrame, text: str = "text", n: int = WORDS) -> np.ndarray:
                 np.add.at(table, (shingles(t, n) & np.uint64(COUNTERS - 1)).astype("int64"), np.uint32(1))
         for i, part in enumerate(np.split(table, BLOCKS)):
             if part.any():
-                yield pd.DataFrame({"block": [i], "counts": [part.astype("<u4").tobytes()]})
+                yield pd.DataFrame({"block": [i], "counts": [_squeezed(part)]})
 
     levels = np.zeros(COUNTERS, "uint8")
     size = COUNTERS // BLOCKS
     for row in _summed(_texts(docs, text).mapInPandas(count, "block int, counts binary")).toLocalIterator():
-        counts = np.frombuffer(row["counts"], "<u4").astype("float64")
+        counts = np.frombuffer(zlib.decompress(row["counts"]), "<u4").astype("float64")
         levels[row["block"] * size : (row["block"] + 1) * size] = np.minimum(255, 8 * np.log2(1 + counts))
     return levels
 
@@ -143,21 +168,21 @@ def _wanted(ids: DataFrame) -> np.ndarray:
     """Bits by hash of the identifiers in ``ids`` (id)."""
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.zeros(WANTED_BITS, bool)
-        for batch in batches:
-            bits[_bit(batch["id"].to_numpy())] = True
-        for i, part in enumerate(np.split(bits, BLOCKS)):
-            if part.any():
-                yield pd.DataFrame({"block": [i], "counts": [np.packbits(part).tobytes()]})
+        at = np.unique(np.concatenate([np.empty(0, "int64"), *[np.unique(_bit(batch["id"].to_numpy())) for batch in batches]]))
+        size = WANTED_BITS // BLOCKS
+        for i in np.unique(at // size).tolist():
+            part = np.zeros(size, bool)
+            part[at[(at >= i * size) & (at < (i + 1) * size)] - i * size] = True
+            yield pd.DataFrame({"block": [i], "counts": [zlib.compress(np.packbits(part).tobytes(), 1)]})
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        out = np.bitwise_or.reduce([np.frombuffer(x, "uint8") for x in frame["counts"]])
-        return pd.DataFrame({"block": [frame["block"].iloc[0]], "counts": [out.tobytes()]})
+        out = np.bitwise_or.reduce([np.frombuffer(zlib.decompress(x), "uint8") for x in frame["counts"]])
+        return pd.DataFrame({"block": [frame["block"].iloc[0]], "counts": [zlib.compress(out.tobytes(), 1)]})
 
     found = np.zeros((BLOCKS, WANTED_BITS // BLOCKS // 8), "uint8")
     parts = ids.mapInPandas(mark, "block int, counts binary").groupBy("block").applyInPandas(merge, "block int, counts binary")
     for row in parts.toLocalIterator():
-        found[row["block"]] = np.frombuffer(row["counts"], "uint8")
+        found[row["block"]] = np.frombuffer(zlib.decompress(row["counts"]), "uint8")
     return found.reshape(-1)
 
 
@@ -165,37 +190,54 @@ def _bit(ids: np.ndarray) -> np.ndarray:
     return (_mixed(ids.astype("int64").view("uint64")) & np.uint64(WANTED_BITS - 1)).astype("int64")
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, text: str = "text", n: int = WORDS) -> DataFrame:
-    """(id, s): the sets, as sorted uint64 bytes, of the documents named in ``ids`` (id, distinct).
+def _marked(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    at = _bit(ids)
+    return (bits[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)
 
-    Only those sets are shuffled: a table of bits, which has a fixed size, lets through those and,
-    in a very large join, some more.
-    """
-    bits = docs.sparkSession.sparkContext.broadcast(_wanted(ids))
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``texts`` (id, text) whose id is in ``ids`` (id): no shuffle, as a table of bits, which has a fixed
+    size, lets them through, and in a very large join some others that later joins drop."""
+    bits = texts.sparkSession.sparkContext.broadcast(_wanted(ids))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch[batch["doc_id"].notna()]
-            at = _bit(batch["doc_id"].to_numpy("int64"))
-            batch = batch[(bits.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)]
-            yield pd.DataFrame({"id": batch["doc_id"].astype("int64"), "s": [shingles(t, n).tobytes() for t in batch["text"]]})
+            yield batch.filter(pa.array(_marked(bits.value, batch.column("id").to_numpy(zero_copy_only=False))))
 
-    return _texts(docs, text).mapInPandas(sets, "id long, s binary").join(ids, "id", "left_semi")
+    return texts.filter("id is not null").mapInArrow(some, "id long, text string")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``pairs`` (x, y) whose sets reach the threshold."""
+def verified(pairs: DataFrame, texts: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``pairs`` (x, y) whose texts' sets reach the threshold."""
+    ids = pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id"))).distinct()
+    some = written(texts_of(texts, ids), "paired")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            good = [similar(np.frombuffer(a, "uint64"), np.frombuffer(b, "uint64"), percent) for a, b in zip(batch["s"], batch["t"])]
+            good = [similar(shingles(a, n), shingles(b, n), percent) for a, b in zip(batch["s"], batch["t"])]
             yield batch.loc[good, ["x", "y"]]
 
-    left = pairs.join(sets.withColumnRenamed("id", "x"), "x")
-    both = left.join(sets.select(F.col("id").alias("y"), F.col("s").alias("t")), "y")
+    left = pairs.join(some.select(F.col("id").alias("x"), F.col("text").alias("s")), "x")
+    both = left.join(some.select(F.col("id").alias("y"), F.col("text").alias("t")), "y")
     return both.select("x", "y", "s", "t").mapInPandas(check, "x long, y long").distinct()
 
 
+def shared_postings(classes: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(token, c, n, i) for the prefix shingles that are in ``tokens`` (token), and some others."""
+    bits = classes.sparkSession.sparkContext.broadcast(_wanted(tokens.select(F.col("token").alias("id"))))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sizes = np.array([len(p) for p in batch["prefix"]], "int64")
+            token = np.concatenate(batch["prefix"].tolist()) if len(batch) else np.empty(0, "int64")
+            i = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            keep = _marked(bits.value, token)
+            out = {"token": token, "c": np.repeat(batch["c"].to_numpy(), sizes), "n": np.repeat(batch["n"].to_numpy(), sizes), "i": i}
+            yield pd.DataFrame({k: v[keep] for k, v in out.items()})
+
+    return classes.select("c", "n", "prefix").mapInPandas(run, "token long, c long, n long, i long")
+
+
 def _near(nx: Column, ix: Column, ny: Column, iy: Column, percent: int) -> Column:
     """Length filter, and positional filter for a shingle at places ix and iy of the two orders."""
     least, most = F.least(nx, ny), F.greatest(nx, ny)
@@ -216,12 +258,16 @@ def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PER
     # Equal sets: one row per class, its first document and its prefix; combined before the shuffle.
     classes = written(real.groupBy("a", "b").agg(F.min("doc_id").alias("c"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "classes")
     postings = classes.select("c", "n", F.posexplode("prefix").alias("i", "token"))
-    shared = postings.groupBy("token").agg(F.count("*").alias("k"), F.sum(F.xxhash64("c").cast("decimal(38,0)")).alias("who")).filter("k > 1")
-    # Lists with the same members (the same count and sum of hashes) give the same candidates: the first stays.
-    lists = written(shared.groupBy("k", "who").agg(F.min("token").alias("token")).select("token"), "lists")
-    members = written(postings.join(lists, "token").select("token", "c", "n", "i"), "members")
-
-    sets = written(sets_of(docs, members.select(F.col("c").alias("id")).distinct(), text, n), "sets")
+    # Most prefix shingles occur once: counting them needs only themselves, and the postings of the
+    # others are picked out by a table of bits before they are shuffled.
+    often = written(postings.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token"), "often")
+    members = shared_postings(classes, often).join(often, "token", "left_semi")
+    # Lists with the same members (the same count and hashes) give the same candidates: one of them stays.
+    who = members.groupBy("token").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("c")).alias("who"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("too"))
+    lists = who.groupBy("k", "who", "too").agg(F.min("token").alias("token")).select("token")
+    members = written(members.join(lists, "token", "left_semi"), "members")
+    texts = _texts(docs, text).withColumnRenamed("doc_id", "id")
+    texts = written(texts_of(texts, members.select(F.col("c").alias("id")).distinct()), "texts")
 
     tested = links = None
     joined = members.withColumn("component", F.col("c"))
@@ -241,7 +287,7 @@ def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PER
             if turn < STARS:
                 continue
             break
-        new = verified(pairs, sets, percent)
+        new = verified(pairs, texts, n, percent)
         links = written(links.unionByName(new) if links else new, "links")
         tested = tested.unionByName(pairs) if tested else pairs
         tied = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
