@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from bisect import insort
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -33,43 +35,45 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 def differencing(sizes: list[int], m: int) -> list[list[int]]:
     """Deal items of the given sizes into m windows with near-equal sums; items by their positions.
 
-    A partial partition is kept sparse, as its non-empty windows in descending order of fill, so
-    merges that do not yet fill all windows only put the two lists together.
+    A partial partition is kept sparse, as its non-empty windows (minus fill, tie, items), the fullest
+    first.  Items are leaves of a tree that a merge of two windows grows by one node.
     """
     if m <= 0 or not sizes:
         return [[] for _ in range(max(m, 0))]
-    tick = 0
-    heap: list[tuple[int, int, list[tuple[int, tuple]]]] = []
-    for i, s in enumerate(sizes):
-        heap.append((-s if m > 1 else 0, i, [(s, (i, None, None))]))
-    heapq.heapify(heap)
     tick = len(sizes)
+    heap = [(-s if m > 1 else 0, i, [(-s, i, (i,))]) for i, s in enumerate(sizes)]
+    heapq.heapify(heap)
     while len(heap) > 1:
         _, _, a = heapq.heappop(heap)
-        _, _, b = heapq.heappop(heap)
-        over = len(a) + len(b) - m
-        if over > 0:
-            # The emptiest windows of a meet the fullest of b, beyond those that meet an empty one.
-            if len(a) < len(b):
-                a, b = b, a
-            tail = len(a) - over
-            joined = [(x[0] + y[0], (None, x[1], y[1])) for x, y in zip(a[tail:], reversed(b[len(b) - over :]))]
-            merged = a[:tail] + joined + b[: len(b) - over]
+        _, _, b = heap[0]
+        if len(a) < len(b):
+            a, b = b, a
+        if len(b) == 1:  # one item onto an empty window, or onto the emptiest
+            fill, _, items = b[0]
+            if len(a) == m:
+                least = a.pop()
+                fill, items = fill + least[0], (least[2], items)
+            insort(a, (fill, tick, items))
+            merged = a
         else:
-            merged = a + b
-        merged.sort(key=lambda w: -w[0])
-        spread = merged[0][0] - (merged[-1][0] if len(merged) == m else 0)
-        heapq.heappush(heap, (-spread, tick, merged))
+            # The fullest windows of one meet the emptiest of the other.
+            over = max(0, len(a) + len(b) - m)
+            tail = len(a) - over
+            met = [(x[0] + y[0], tick, (x[2], y[2])) for x, y in zip(a[tail:], reversed(b[len(b) - over :]))]
+            merged = a[:tail] + met + b[: len(b) - over]
+            merged.sort(key=itemgetter(0))
+        spread = (merged[-1][0] if len(merged) == m else 0) - merged[0][0]
+        heapq.heapreplace(heap, (-spread, tick, merged))
         tick += 1
     out: list[list[int]] = []
-    for _, node in heap[0][2]:
+    for _, _, node in heap[0][2]:
         items, stack = [], [node]
         while stack:
-            leaf, left, right = stack.pop()
-            if leaf is not None:
-                items.append(leaf)
+            node = stack.pop()
+            if len(node) == 1:
+                items.append(node[0])
             else:
-                stack += [left, right]
+                stack += node
         out.append(sorted(items))
     return out + [[] for _ in range(m - len(out))]
 
