@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .encoding import encoder
+from .shared import written
 
 MAGIC = b"PWSST\x00\x00\x01"
 BLOCK_BYTES, RESTART, BLOOM_BITS, BLOOM_HASHES = 64 * 1024, 16, 10, 7
@@ -51,7 +52,7 @@ def id_of(key: bytes) -> int | None:
 
 
 def pack_ids(ids: np.ndarray) -> bytes:
-    if len(ids) == 0 or int(ids.max()) < 1 << 16:
+    if not len(ids) or int(ids.max()) < 1 << 16:
         return b"\x02" + ids.astype("<u2").tobytes()
     return b"\x04" + ids.astype("<u4").tobytes()
 
@@ -248,23 +249,25 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 def summary(spark: SparkSession, path: str) -> DataFrame:
     """Per document: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, shard.
 
-    Only a total per shard reaches the driver, which sums them up in shard order.
+    The shards are read once, and only their documents' figures leave the readers; a total per shard
+    reaches the driver, which sums them up in shard order.
     """
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            crc = [zlib.crc32(x) for x in batch["ids"]]
-            yield batch.drop(columns="ids").assign(ids_crc32=np.array(crc, dtype="int64"))
-
-    def totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [Reader(c) for c in batch["content"]]
-            yield pd.DataFrame({"shard": [r.shard for r in found], "ids": [r.ids for r in found]})
+            for content in batch["content"]:
+                shard, start = Reader(content), 0
+                out = []
+                for doc_id, ids in shard:
+                    out.append((doc_id, shard.shard, start, len(ids), zlib.crc32(ids)))
+                    start += len(ids)
+                names = ["doc_id", "shard", "shard_start", "n_tokens", "ids_crc32"]
+                yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
-    docs = read(spark, path).mapInPandas(digest, "doc_id long, shard long, shard_start long, n_tokens long, ids_crc32 long")
     files = spark.read.format("binaryFile").load(path).filter(F.col("length") > 0).select("content")
+    docs = written(files.mapInPandas(digest, "doc_id long, shard long, shard_start long, n_tokens long, ids_crc32 long"), "shards")
     before, base = 0, []
-    for shard, ids in sorted(map(tuple, files.mapInPandas(totals, "shard long, ids long").collect())):
+    for shard, ids in sorted(map(tuple, docs.groupBy("shard").agg(F.sum("n_tokens")).collect())):
         base.append((shard, before))
         before += ids
     bases = spark.createDataFrame(base, "shard long, shard_base long")
