@@ -10,10 +10,9 @@ the other (suffix filter).
 * How rare a shingle is, is estimated from a table of counters of fixed size over all documents.
   Any order that is the same everywhere gives the same links; the estimate only decides the cost.
 * Classes that share a prefix shingle form a list; of lists with the same members one is kept.
-  Large groups of near copies are not paired off: in each of a few rounds a list's members are
-  compared with one of them, and what is found to be connected is not compared again.  Then all
-  pairs of a list that pass the filters and are not connected yet are verified, so no link between
-  components is lost.
+  Large groups of near copies are not paired off: a list's members are first compared with a few of
+  them, and what is found to be connected is not compared again.  Then all pairs of a list that
+  pass the filters and are not connected yet are verified, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -33,8 +32,8 @@ from .shared import written
 
 WORDS, PERCENT = 5, 75
 #: Counters of the rarity table, and the bits that say which sets are wanted: fixed sizes, whatever the input.
-COUNTERS, BLOCKS, WANTED_BITS = 1 << 22, 64, 1 << 26
-#: Rounds in which a list's members are compared with one of them.
+COUNTERS, BLOCKS, WANTED_BITS = 1 << 21, 16, 1 << 24
+#: Members of a list with which all its others are compared.
 STARS = 3
 #: Bytes that part words; a random number for each byte, the same for A-Z as for a-z; an odd base and its inverse.
 _PARTS = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -120,7 +119,7 @@ def _summed(parts: DataFrame) -> DataFrame:
         return pd.DataFrame({"block": [frame["block"].iloc[0]], "counts": [_squeezed(np.minimum(total, 2**32 - 1))]})
 
     # Two steps, so that no task adds up more than a few tables of a block.
-    step = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16))).groupBy("block", "salt").applyInPandas(add, "block int, counts binary")
+    step = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(8))).groupBy("block", "salt").applyInPandas(add, "block int, counts binary")
     return step.groupBy("block").applyInPandas(add, "block int, counts binary")
 
 
@@ -138,7 +137,7 @@ def rarity(docs: DataFrame, text: str = "text", n: int = WORDS) -> np.ndarray:
 
     levels = np.zeros(COUNTERS, "uint8")
     size = COUNTERS // BLOCKS
-    for row in _summed(_texts(docs, text).mapInPandas(count, "block int, counts binary")).toLocalIterator():
+    for row in _summed(_texts(docs, text).mapInPandas(count, "block int, counts binary")).collect():
         counts = np.frombuffer(zlib.decompress(row["counts"]), "<u4").astype("float64")
         levels[row["block"] * size : (row["block"] + 1) * size] = np.minimum(255, 8 * np.log2(1 + counts))
     return levels
@@ -181,7 +180,7 @@ def _wanted(ids: DataFrame) -> np.ndarray:
 
     found = np.zeros((BLOCKS, WANTED_BITS // BLOCKS // 8), "uint8")
     parts = ids.mapInPandas(mark, "block int, counts binary").groupBy("block").applyInPandas(merge, "block int, counts binary")
-    for row in parts.toLocalIterator():
+    for row in parts.collect():
         found[row["block"]] = np.frombuffer(zlib.decompress(row["counts"]), "uint8")
     return found.reshape(-1)
 
@@ -238,11 +237,29 @@ def shared_postings(classes: DataFrame, tokens: DataFrame) -> DataFrame:
     return classes.select("c", "n", "prefix").mapInPandas(run, "token long, c long, n long, i long")
 
 
-def _near(nx: Column, ix: Column, ny: Column, iy: Column, percent: int) -> Column:
-    """Length filter, and positional filter for a shingle at places ix and iy of the two orders."""
-    least, most = F.least(nx, ny), F.greatest(nx, ny)
-    possible = F.least(ix, iy) + 1 + F.least(nx - ix - 1, ny - iy - 1)
-    return (100 * least >= percent * most) & ((100 + percent) * possible >= percent * (nx + ny))
+def _near(percent: int) -> Column:
+    """The filters for a row (n, i, s, lists) and another (m, j, other_s, other_lists) of one list.
+
+    Length; position (a shared shingle at places i and j of the two orders leaves room for so much
+    overlap); and prefix: what is shared up to the smaller of the two last prefix shingles lies in both
+    prefixes, and what follows is less than the rest of one of the two sets.
+    """
+    least, most = F.least("n", "m"), F.greatest("n", "m")
+    need = F.ceil(percent * (F.col("n") + F.col("m")) / (100 + percent))
+    possible = F.least("i", "j") + 1 + F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) - 1
+    length = 100 * least >= percent * most
+    tokens = F.transform("other_lists", lambda e: e["token"])
+    both = F.filter("lists", lambda e: F.array_contains(tokens, e["token"]))
+    common = F.aggregate(both, F.lit(0).cast("bigint"), lambda a, e: a + e["w"])
+    after = F.ceil(percent * most / 100) - 1
+    # The least that the two can share is cheap to bound by all that each shares with anyone.
+    return length & (possible >= need) & (F.least("s", "other_s") + after >= need) & (common + after >= need)
+
+
+def _first() -> Column:
+    """Whether a list is the first of those that two rows have in common, so that a pair comes once."""
+    mine, theirs = (F.transform(c, lambda e: e["token"]) for c in ("lists", "other_lists"))
+    return F.array_min(F.array_intersect(mine, theirs)) == F.col("token")
 
 
 def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -264,44 +281,51 @@ def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PER
     members = shared_postings(classes, often).join(often, "token", "left_semi")
     # Lists with the same members (the same count and hashes) give the same candidates: one of them stays.
     who = members.groupBy("token").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("c")).alias("who"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("too"))
-    lists = who.groupBy("k", "who", "too").agg(F.min("token").alias("token")).select("token")
-    members = written(members.join(lists, "token", "left_semi"), "members")
+    lists = who.groupBy("k", "who", "too").agg(F.min("token").alias("token"), F.count("*").alias("w")).select("token", "w")
+    members = members.join(lists, "token")
+    # Each row carries its class's lists and how many prefix shingles each stands for.
+    own = members.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("token", "w"))).alias("lists"), F.sum("w").alias("s"))
+    members = written(members.drop("w").join(own, "c"), "members")
     texts = _texts(docs, text).withColumnRenamed("doc_id", "id")
     texts = written(texts_of(texts, members.select(F.col("c").alias("id")).distinct()), "texts")
 
-    tested = links = None
-    joined = members.withColumn("component", F.col("c"))
-    pairs_of = lambda df: df.select(F.least("c", "d").alias("x"), F.greatest("c", "d").alias("y")).distinct()
-    for turn in range(STARS + 1):
-        other = joined.select("token", F.col("c").alias("d"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("component").alias("other"))
-        if turn < STARS:
-            # One member of each list, another one each time.
-            pick = F.min_by(F.struct("d", "m", "j", "other"), F.xxhash64("d", F.lit(turn)))
-            other = other.groupBy("token").agg(pick.alias("p")).select("token", "p.*")
-            found = joined.join(other, "token").filter(F.col("component") != F.col("other"))
-        else:
-            found = joined.join(other, "token").filter((F.col("component") != F.col("other")) & (F.col("c") < F.col("d")))
-        pairs = pairs_of(found.filter(_near(F.col("n"), F.col("i"), F.col("m"), F.col("j"), percent)))
-        pairs = written(pairs.join(tested, ["x", "y"], "left_anti") if tested else pairs, "pairs")
-        if pairs.isEmpty():
-            if turn < STARS:
-                continue
-            break
-        new = verified(pairs, texts, n, percent)
-        links = written(links.unionByName(new) if links else new, "links")
-        tested = tested.unionByName(pairs) if tested else pairs
-        tied = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
-        joined = members.join(tied, members["c"] == tied["node"], "left").select(
-            "token", "c", "n", "i", F.coalesce("component", "c").alias("component"))
-        # Lists whose members are all connected have nothing left to find.
-        open_ = joined.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("token")
-        joined = written(joined.join(open_, "token", "left_semi"), "open")
-
-    # Documents to classes to components; repeated identifiers tie classes together.
-    ids = real.select("doc_id", "a", "b").join(classes.select("a", "b", "c"), ["a", "b"]).select("doc_id", "c")
-    edges = ids.filter("doc_id <> c").select(F.col("doc_id").alias("u"), F.col("c").alias("v"))
-    if links:
-        edges = edges.unionByName(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
-    tied = components(edges, "documents")
-    return table.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("node")).join(tied, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    # First each list's members against a few of them.
+    sides = {"c": "d", "n": "m", "i": "j", "s": "other_s", "lists": "other_lists"}
+    other = members.select("token", *[F.col(old).alias(new) for old, new in sides.items()])
+    picks = [F.min_by(F.struct(*sides.values()), F.xxhash64("d", F.lit(k))).alias(f"p{k}") for k in range(STARS)]
+    centres = other.groupBy("token").agg(*picks)
+    centres = centres.select("token", F.explode(F.array_distinct(F.array(*[f"p{k}" for k in range(STARS)]))).alias("p")).select("token", "p.*")
+    found = members.join(centres, (members["token"] == centres["token"]) & (F.col("c") != F.col("d")) & _near(percent))
+    star = written(_pairs(found), "pairs")
+    links = written(verified(star, texts, n, percent), "links")
+    tied = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
+    # Then, in the lists whose members are not all connected, every pair across the gaps: those outside
+    # a list's largest component against all others of the list.
+    joined = members.join(tied, members["c"] == tied["node"], "left").withColumn("component", F.coalesce("component", "c")).drop("node")
+    parts = joined.groupBy("token", "component").agg(F.count("*").alias("k"))
+    open_ = parts.groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("largest"), F.count("*").alias("parts")).filter("parts > 1")
+    joined = written(joined.join(open_.drop("parts"), "token"), "open")
+    sides |= {"component": "other"}
+    other = joined.select(F.col("token").alias("t"), *[F.col(old).alias(new) for old, new in sides.items()])
+    apart = (F.col("token") == F.col("t")) & (F.col("component") != F.col("other")) & ((F.col("other") == F.col("largest")) | (F.col("c") < F.col("d")))
+    small = joined.filter(F.col("component") != F.col("largest"))
+    rest = written(_pairs(small.join(other, apart & _near(percent) & _first())).join(star, ["x", "y"], "left_anti"), "pairs")
+    more = not rest.isEmpty()
+    if more:
+        links = links.unionByName(written(verified(rest, texts, n, percent), "links"))
+
+    # Documents to classes to components; a repeated identifier ties the classes that it is in.
+    ids = table.join(classes.select("a", "b", "c"), ["a", "b"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("c")).alias("node"))
+    ids = written(ids, "ids")
+    twice = ids.filter("doc_id is not null and node is not null").groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
+    if not twice.isEmpty():
+        ties = ids.join(twice, "doc_id").filter("node <> lo").select(F.col("lo").alias("x"), F.col("node").alias("y")).distinct()
+        links, more = links.unionByName(ties), True
+    if more:
+        tied = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")), "documents")
+    component = F.coalesce("component", "node", "doc_id")
+    return ids.join(tied, "node", "left").select("doc_id", "n_shingles", component.alias("component_id"))
+
+
+def _pairs(found: DataFrame) -> DataFrame:
+    return found.select(F.least("c", "d").alias("x"), F.greatest("c", "d").alias("y")).distinct()
