@@ -56,7 +56,7 @@ def phrase_cleaner(rows: list[tuple[str | None, str | None]]) -> Callable[[Colum
         known: dict[str, str] = {}
         for t in texts.dropna().unique():
             known[t] = strip_references(remove_terms(t, terms))
-        return texts.map(known)
+        return pd.Series([None if t is None else known[t] for t in texts], dtype=object)
 
     return clean
 
@@ -82,6 +82,6 @@ def matching_phrases(phrases: list[str], start_only: bool = False) -> Callable[[
             top = max(hits, key=len)
             return "|".join([p for p in hits if p == top or p not in top])
 
-        return texts.map(one)
+        return pd.Series([one(t) for t in texts], dtype=object)
 
     return find
