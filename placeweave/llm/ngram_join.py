@@ -35,6 +35,8 @@ WORDS, PERCENT = 5, 75
 COUNTERS, BLOCKS, WANTED_BITS = 1 << 21, 16, 1 << 24
 #: Members of a list with which all its others are compared.
 STARS = 3
+#: Longs of bits by which shared shingles are bounded from above before they are counted.
+BITS = 4
 #: Bytes that part words; a random number for each byte, the same for A-Z as for a-z; an odd base and its inverse.
 _PARTS = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _BYTES = np.random.default_rng(20).integers(0, 2**64, 256, "uint64")
@@ -253,7 +255,10 @@ def _near(percent: int) -> Column:
     common = F.aggregate(both, F.lit(0).cast("bigint"), lambda a, e: a + e["w"])
     after = F.ceil(percent * most / 100) - 1
     # The least that the two can share is cheap to bound by all that each shares with anyone.
-    return length & (possible >= need) & (F.least("s", "other_s") + after >= need) & (common + after >= need)
+    # Shared shingles lie under the bits that both set; those that met on one bit are counted besides.
+    bits = sum((F.bit_count(F.col(f"b{k}").bitwiseAND(F.col(f"o{k}"))) for k in range(1, BITS)), F.bit_count(F.col("b0").bitwiseAND(F.col("o0"))))
+    cheap = (F.least("s", "other_s") + after >= need) & (bits + F.least("over", "other_over") + after >= need)
+    return length & (possible >= need) & cheap & (common + after >= need)
 
 
 def _first() -> Column:
@@ -280,17 +285,22 @@ def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PER
     often = written(postings.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token"), "often")
     members = shared_postings(classes, often).join(often, "token", "left_semi")
     # Lists with the same members (the same count and hashes) give the same candidates: one of them stays.
+    # Per class, how many of its prefix shingles are shared with anyone, and 256 bits that they set.
+    part, bit = F.shiftright("token", 6).bitwiseAND(F.lit(BITS - 1).cast("long")), F.expr("shiftleft(1L, cast(token & 63 AS int))")
+    marks = members.groupBy("c").agg(F.count("*").alias("s"), *[F.coalesce(F.bit_or(F.when(part == k, bit)), F.lit(0).cast("long")).alias(f"b{k}") for k in range(BITS)])
+    set_ = sum((F.bit_count(f"b{k}") for k in range(1, BITS)), F.bit_count("b0"))
+    marks = marks.withColumn("over", F.col("s") - set_)
     who = members.groupBy("token").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("c")).alias("who"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("too"))
     lists = who.groupBy("k", "who", "too").agg(F.min("token").alias("token"), F.count("*").alias("w")).select("token", "w")
     members = members.join(lists, "token")
     # Each row carries its class's lists and how many prefix shingles each stands for.
-    own = members.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("token", "w"))).alias("lists"), F.sum("w").alias("s"))
+    own = members.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("token", "w"))).alias("lists")).join(marks, "c")
     members = written(members.drop("w").join(own, "c"), "members")
     texts = _texts(docs, text).withColumnRenamed("doc_id", "id")
     texts = written(texts_of(texts, members.select(F.col("c").alias("id")).distinct()), "texts")
 
     # First each list's members against a few of them.
-    sides = {"c": "d", "n": "m", "i": "j", "s": "other_s", "lists": "other_lists"}
+    sides = {"c": "d", "n": "m", "i": "j", "s": "other_s", "over": "other_over", **{f"b{k}": f"o{k}" for k in range(BITS)}, "lists": "other_lists"}
     other = members.select("token", *[F.col(old).alias(new) for old, new in sides.items()])
     picks = [F.min_by(F.struct(*sides.values()), F.xxhash64("d", F.lit(k))).alias(f"p{k}") for k in range(STARS)]
     centres = other.groupBy("token").agg(*picks)
