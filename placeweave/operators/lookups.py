@@ -157,8 +157,8 @@ def stage_keys() -> dict[str, Column]:
 def cascade(titles: DataFrame, lookups: dict[str, DataFrame | None], row_id: str = "row_id") -> DataFrame:
     """``titles`` with UPRN, LATITUDE, LONGITUDE, match_quality and source of the first stage that hits.
 
-    All stages run as one join: each row gives a (stage, key) pair per stage, the lookups become one
-    table of (stage, key), and the smallest stage that is found wins.  Lookups have each key once, so
+    All stages run as one join: each row gives its keys by kind, the lookups become one table of
+    (kind, key) with their stages, and the smallest stage that is found wins.  Lookups have each key once, so
     this equals trying the stages one after the other.  The narrow pairs are shuffled, not the titles;
     rows that nothing matches have nulls.  ``row_id`` names a unique column.
     """
@@ -173,14 +173,16 @@ def cascade(titles: DataFrame, lookups: dict[str, DataFrame | None], row_id: str
             source = CENTROIDS[name] + ("_buried" if key.endswith("buried") else "")
             table = table.select("key", F.lit(None).cast("long").alias("UPRN"), "LATITUDE", "LONGITUDE", F.lit(source).alias("match_source"))
         own = F.lit(quality) if quality else F.col("match_quality")
-        tables.append(table.select(F.lit(i).alias("stage"), "key", F.struct(
+        tables.append(table.select(F.lit(key).alias("kind"), "key", F.struct(
             F.lit(i).alias("stage"), F.col("UPRN").cast("long").alias("UPRN"), "LATITUDE", "LONGITUDE",
             own.alias("match_quality"), F.concat("match_source", F.lit("_match")).alias("source")).alias("hit")))
     lookup = union_all(*tables)
+    # Each kind of key is worked out once, though several stages ask for it.
     columns = stage_keys()
-    pairs = F.array_compact(F.array(*[F.when(columns[key].isNotNull(), F.struct(F.lit(i).alias("stage"), columns[key].alias("key"))) for i, key, _, _ in used]))
-    wanted = titles.select(F.col(row_id).alias("__row"), F.explode(pairs).alias("p")).select("__row", "p.stage", "p.key")
-    best = wanted.join(lookup, ["stage", "key"]).groupBy("__row").agg(F.min_by("hit", "stage").alias("hit"))
+    kinds = dict.fromkeys(key for _, key, _, _ in used)
+    pairs = F.filter(F.array(*[F.struct(F.lit(k).alias("kind"), columns[k].alias("key")) for k in kinds]), lambda p: p["key"].isNotNull())
+    wanted = titles.select(F.col(row_id).alias("__row"), F.explode(pairs).alias("p")).select("__row", "p.kind", "p.key")
+    best = wanted.join(lookup, ["kind", "key"]).groupBy("__row").agg(F.min_by("hit", "hit.stage").alias("hit"))
     return titles.join(best, titles[row_id] == best["__row"], "left").select(
         *[F.col(f"`{c}`") for c in titles.columns], "hit.UPRN", "hit.LATITUDE", "hit.LONGITUDE", "hit.match_quality", "hit.source")
 
