@@ -240,7 +240,8 @@ def shared_postings(classes: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def _near(percent: int) -> Column:
-    """The filters for a row (n, i, s, lists) and another (m, j, other_s, other_lists) of one list.
+    """The filters for a row (n, i, s, over, b*) and another (m, j, other_s, other_over, o*) of one list; plain
+    arithmetic, as it runs for every pair that a list brings together.
 
     Length; position (a shared shingle at places i and j of the two orders leaves room for so much
     overlap); and prefix: what is shared up to the smaller of the two last prefix shingles lies in both
@@ -250,21 +251,11 @@ def _near(percent: int) -> Column:
     need = F.ceil(percent * (F.col("n") + F.col("m")) / (100 + percent))
     possible = F.least("i", "j") + 1 + F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) - 1
     length = 100 * least >= percent * most
-    tokens = F.transform("other_lists", lambda e: e["token"])
-    both = F.filter("lists", lambda e: F.array_contains(tokens, e["token"]))
-    common = F.aggregate(both, F.lit(0).cast("bigint"), lambda a, e: a + e["w"])
     after = F.ceil(percent * most / 100) - 1
-    # The least that the two can share is cheap to bound by all that each shares with anyone.
     # Shared shingles lie under the bits that both set; those that met on one bit are counted besides.
     bits = sum((F.bit_count(F.col(f"b{k}").bitwiseAND(F.col(f"o{k}"))) for k in range(1, BITS)), F.bit_count(F.col("b0").bitwiseAND(F.col("o0"))))
     cheap = (F.least("s", "other_s") + after >= need) & (bits + F.least("over", "other_over") + after >= need)
-    return length & (possible >= need) & cheap & (common + after >= need)
-
-
-def _first() -> Column:
-    """Whether a list is the first of those that two rows have in common, so that a pair comes once."""
-    mine, theirs = (F.transform(c, lambda e: e["token"]) for c in ("lists", "other_lists"))
-    return F.array_min(F.array_intersect(mine, theirs)) == F.col("token")
+    return length & (possible >= need) & cheap
 
 
 def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -291,16 +282,13 @@ def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PER
     set_ = sum((F.bit_count(f"b{k}") for k in range(1, BITS)), F.bit_count("b0"))
     marks = marks.withColumn("over", F.col("s") - set_)
     who = members.groupBy("token").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("c")).alias("who"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("too"))
-    lists = who.groupBy("k", "who", "too").agg(F.min("token").alias("token"), F.count("*").alias("w")).select("token", "w")
-    members = members.join(lists, "token")
-    # Each row carries its class's lists and how many prefix shingles each stands for.
-    own = members.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("token", "w"))).alias("lists")).join(marks, "c")
-    members = written(members.drop("w").join(own, "c"), "members")
+    lists = who.groupBy("k", "who", "too").agg(F.min("token").alias("token")).select("token")
+    members = written(members.join(lists.select("token"), "token", "left_semi").join(marks, "c"), "members")
     texts = _texts(docs, text).withColumnRenamed("doc_id", "id")
     texts = written(texts_of(texts, members.select(F.col("c").alias("id")).distinct()), "texts")
 
     # First each list's members against a few of them.
-    sides = {"c": "d", "n": "m", "i": "j", "s": "other_s", "over": "other_over", **{f"b{k}": f"o{k}" for k in range(BITS)}, "lists": "other_lists"}
+    sides = {"c": "d", "n": "m", "i": "j", "s": "other_s", "over": "other_over", **{f"b{k}": f"o{k}" for k in range(BITS)}}
     other = members.select("token", *[F.col(old).alias(new) for old, new in sides.items()])
     picks = [F.min_by(F.struct(*sides.values()), F.xxhash64("d", F.lit(k))).alias(f"p{k}") for k in range(STARS)]
     centres = other.groupBy("token").agg(*picks)
@@ -319,7 +307,7 @@ def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PER
     other = joined.select(F.col("token").alias("t"), *[F.col(old).alias(new) for old, new in sides.items()])
     apart = (F.col("token") == F.col("t")) & (F.col("component") != F.col("other")) & ((F.col("other") == F.col("largest")) | (F.col("c") < F.col("d")))
     small = joined.filter(F.col("component") != F.col("largest"))
-    rest = written(_pairs(small.join(other, apart & _near(percent) & _first())).join(star, ["x", "y"], "left_anti"), "pairs")
+    rest = written(_pairs(small.join(other, apart & _near(percent))).join(star, ["x", "y"], "left_anti"), "pairs")
     more = not rest.isEmpty()
     if more:
         links = links.unionByName(written(verified(rest, texts, n, percent), "links"))
