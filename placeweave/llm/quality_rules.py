@@ -1,18 +1,22 @@
 """Quality rules with risk-controlled thresholds, with DataFrame functions only.
 
 Each rule rejects a text when one of its measures reaches a cutoff.  The cutoffs are not set by
-hand: on labelled rows, for each stratum, measure and candidate cutoff, the number of good texts
-that it would reject is tested against the allowed rate with an exact binomial tail, at a level
-divided by the number of all tests (Bonferroni).  A cutoff is used only if its test shows that,
-with the stated confidence, it rejects no more than the allowed share of good texts; among those
-the one that rejects most bad texts for each good text lost is taken.  A stratum with too few
-labels to show it gets no cutoff and so keeps everything that the base rules keep.
+hand.  For each stratum, a quarter of the good texts and all bad ones lay out a path of rule sets,
+each stricter than the one before: next comes the measure and cutoff that catch most further bad
+texts for each good one lost, reached through its milder cutoffs.  The other good texts then test
+the sets along that path: the number that a set rejects, by all its rules together, is tested
+against the allowed rate with an exact binomial tail.  The path does not depend on those texts, so
+it is a fixed sequence: it is walked up to the first set that fails, and the last set that passed
+is used, at a level divided by the number of strata alone.  With the stated confidence no stratum
+loses more than the allowed share.  Strata with too few labels to be shown anything on their own
+are tested together, as one; if they are too few even so, they keep all that the base rules keep.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +26,8 @@ from .shared import written
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 #: Allowed share of good texts rejected in a stratum, by all its rules together; confidence.
 RISK, DELTA = 0.02, 0.05
+#: Share of the good texts that lay out the path; the others test it.
+DESIGN = 0.25
 #: Candidate cutoffs: measure -> values in per cent.
 GRID = [1, 2, 3, 5, 8, 10, 15, 20, 30, 40, 50, 60]
 MEASURES = ("symbols", "shouting", "dup_lines", "repeats", "capitals")
@@ -99,47 +105,70 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * sum(math.exp(x - top) for x in logs))
 
 
-def cutoffs(labelled: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> dict:
-    """{stratum: {measure: cutoff}} from rows with measures, ``stratum`` and ``quality`` (1 good, 0 bad).
+def _walk(levels: np.ndarray, bad: np.ndarray, design: np.ndarray, test: np.ndarray, risk: float, level: float) -> dict:
+    """{measure: cutoff}: the last rule set of the path that passes.
 
-    Only counts per stratum, measure and candidate cutoff reach the driver.  Texts that the base
-    rules reject are left out of the tests, as the cutoffs decide on the others only.
+    One row per combination of the measures' levels (how many cutoffs each has reached), with its
+    numbers of bad texts and of good texts for the path and for the tests.
     """
-    good, bad = F.col("quality") == 1, F.col("quality") == 0
-    rejected = [
-        F.count_if(who & (F.col(f"m_{m}") >= c)).alias(f"{tag}_{m}_{c}")
-        for m in MEASURES for c in GRID for tag, who in (("good", good), ("bad", bad))
-    ]
+    n, rules, alive = int(test.sum()), {}, np.ones(len(levels), dtype=bool)
+    while True:
+        steps = []
+        for m in range(len(MEASURES)):
+            for k in range(1, rules.get(m, len(GRID) + 1)):
+                hit = alive & (levels[:, m] >= k)
+                # Each good text lost weighs as ten bad ones caught; ties go to the mildest cutoff.
+                steps.append((bad[hit].sum() - 10 / DESIGN * design[hit].sum(), k, m))
+        gain, strictest, m = max(steps, default=(0, 0, 0))
+        if gain <= 0:
+            break
+        for k in range(rules.get(m, len(GRID) + 1) - 1, strictest - 1, -1):
+            left = alive & (levels[:, m] < k)
+            if binomial_tail(n - int(test[left].sum()), n, risk) > level:
+                return {MEASURES[i]: GRID[j - 1] for i, j in rules.items()}
+            rules[m], alive = k, left
+    return {MEASURES[i]: GRID[j - 1] for i, j in rules.items()}
+
+
+def _group(own: list, stratum: str) -> Column:
+    """The position of a row's stratum in ``own``; their number for all others."""
+    return F.coalesce(*[F.when(F.col(stratum).eqNullSafe(F.lit(v)), i) for i, v in enumerate(own)], F.lit(len(own)))
+
+
+def cutoffs(labelled: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA, key: str = "doc_id") -> tuple[list, list[dict]]:
+    """(strata with rules of their own, their {measure: cutoff} and at last that of all others).
+
+    ``labelled`` has measures, ``stratum``, ``quality`` (1 good, 0 bad) and ``key``, whose hash deals
+    the good texts.  Only counts per stratum and combination of levels reach the driver.  Texts that
+    the base rules reject are left out, as the cutoffs decide on the others only.
+    """
+    bad = F.col("quality") == 0
+    design = ~bad & (F.pmod(F.xxhash64(F.lit("quality"), key), F.lit(1000)) < int(1000 * DESIGN))
+    rows = labelled.filter(~F.col("base_failed") & F.col("quality").isin(0, 1))
     # With fewer good texts no test can succeed, so the number of strata collected is bounded by
     # the number of labelled rows over this.
-    least = math.log(delta / (len(MEASURES) * len(GRID))) / math.log1p(-risk / len(MEASURES))
-    rows = (
-        labelled.filter(~F.col("base_failed"))
-        .groupBy(F.col(stratum).alias("__stratum"))
-        .agg(F.count_if(good).alias("__good"), *rejected)
-        .filter(F.col("__good") >= least).collect()
-    )
-    tests = len(rows) * len(MEASURES) * len(GRID)
-    chosen: dict = {}
-    for r in rows:
-        for m in MEASURES:
-            shown = [
-                c for c in GRID
-                if r[f"good_{m}_{c}"] < r["__good"]
-                and binomial_tail(r[f"good_{m}_{c}"], r["__good"], risk / len(MEASURES)) <= delta / tests
-            ]
-            # Each good text lost weighs as ten bad ones caught; ties go to the mildest cutoff.
-            gain = lambda c: (r[f"bad_{m}_{c}"] - 10 * r[f"good_{m}_{c}"], c)
-            if shown and gain(best := max(shown, key=gain))[0] > 0:
-                chosen.setdefault(r["__stratum"], {})[m] = best
-    return chosen
-
-
-def verdict(chosen: dict, stratum: str = "lang") -> Column:
+    least = lambda tests: math.log(delta / tests) / math.log1p(-risk)
+    sizes = rows.groupBy(F.col(stratum).alias("v")).agg(F.count_if(~bad & ~design).alias("n")).filter(F.col("n") >= least(1)).collect()
+    sizes = sorted(sizes, key=lambda r: (-r["n"], str(r["v"])))
+    most = max((t for t, r in enumerate(sizes, 1) if r["n"] >= least(t + 1)), default=0)
+    own = [r["v"] for r in sizes[:most]]
+    levels = [sum((F.col(f"m_{m}") >= c).cast("int") for c in GRID).alias(f"l_{m}") for m in MEASURES]
+    cells = rows.select(_group(own, stratum).alias("g"), *levels, bad.alias("bad"), design.alias("design"))
+    cells = cells.groupBy("g", *[f"l_{m}" for m in MEASURES]).agg(
+        F.count_if("bad"), F.count_if("design"), F.count_if(~F.col("bad") & ~F.col("design"))
+    ).collect()
+    chosen = []
+    for g in range(len(own) + 1):
+        table = np.array([r[1:] for r in cells if r["g"] == g], dtype=np.int64).reshape(-1, len(MEASURES) + 3)
+        chosen.append(_walk(table[:, :-3], table[:, -3], table[:, -2], table[:, -1], risk, delta / (len(own) + 1)))
+    return own, chosen
+
+
+def verdict(own: list, chosen: list[dict], stratum: str = "lang") -> Column:
     """Whether the chosen cutoffs keep a row (base rules apart)."""
     out = F.lit(True)
-    for value, rules in chosen.items():
-        here = F.col(stratum).eqNullSafe(F.lit(value))
+    for g, rules in enumerate(chosen):
+        here = _group(own, stratum) == g
         for m, c in rules.items():
             out = out & ~(here & (F.col(f"m_{m}") >= c))
     return out
@@ -165,6 +194,6 @@ def judge(
     )
     label = labels.groupBy(F.col("doc_id").alias("__id")).agg(F.max("quality").alias("__quality"))
     known = rows.join(label.filter("__quality in (0, 1)"), "__id")
-    chosen = cutoffs(known.withColumn("quality", F.col("__quality")), "__stratum", risk, delta)
-    kept = ~F.col("base_failed") & verdict(chosen, "__stratum")
+    own, chosen = cutoffs(known.withColumn("quality", F.col("__quality")), "__stratum", risk, delta, "__id")
+    kept = ~F.col("base_failed") & verdict(own, chosen, "__stratum")
     return rows.select(*carry, *COUNTS, kept.alias("kept"))

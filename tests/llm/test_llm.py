@@ -277,6 +277,22 @@ def test_cutoffs_keep_the_risk(spark):
     assert quality_rules.judge(docs.limit(0), labels).count() == 0
 
 
+def test_small_strata_get_cutoffs(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    text = lambda end: " ".join(word() + end for _ in range(30))
+    # One stratum of 500 good texts, and twenty of 40 that are shown something only together.
+    rows = [(i, text(""), "de" if i < 500 else f"x{i % 20}", 1) for i in range(1300)]
+    rows += [(10000 + i, text("$$$"), "de" if i < 50 else f"x{i % 20}", 0) for i in range(150)]
+    # As many good as bad texts shout: no cutoff may be set on that.
+    rows += [(20000 + i, text("!"), "de", i % 2) for i in range(60)]
+    docs = spark.createDataFrame([(i, t, v, "s", len(t)) for i, t, v, _ in rows], DOC)
+    labels = spark.createDataFrame([(i, q) for i, _, _, q in rows], "doc_id long, quality int")
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.judge(docs, labels, carry=["doc_id"]).collect()}
+    assert not any(got[10000 + i] for i in range(150))
+    assert all(got[i] for i, _, _, q in rows if q == 1)
+
+
 # -- 9 toxicity
 
 def test_toxicity(spark):
