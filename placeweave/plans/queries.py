@@ -439,7 +439,7 @@ def g18_month_usage(spark, q):
 
 @query("documents")
 def g19_frequent_ngrams(spark, d):
-    return audits.frequent_ngrams(d, "text", 3, 4, 6)
+    return audits.frequent_ngrams(d, "text", 3, 100, 6)
 
 
 @query("queue_log", "SELECT queue_key, status, ts FROM queue_log QUALIFY row_number() OVER (PARTITION BY queue_key ORDER BY ts DESC, event_id, status) = 1")

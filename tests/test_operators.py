@@ -1,13 +1,15 @@
 """Operators on small cases and against slower, plainer forms."""
 
 import datetime as dt
+import random
+from collections import Counter
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from placeweave.functions import geo as G
-from placeweave.operators import addresses, fuzzy, geocode_queue, lookups, master, relational, spatial, titles
+from placeweave.operators import addresses, audits, fuzzy, geocode_queue, lookups, master, relational, spatial, titles
 from placeweave.plans import queries as plans
 from placeweave.sources import readers, sinks
 
@@ -226,3 +228,15 @@ def test_carry_forward_and_split(spark):
     rows = spark.createDataFrame([("1 Foo Road (LS1 1AA) and 2 Bar Lane (LS2 2BB), rear",)], "`Property Address` string")
     got = [(r["AddressLine"], r["PostalCode"]) for r in titles.split_multi_postcode(rows).collect()]
     assert [g[1] for g in got] == ["LS1 1AA", "LS2 2BB"] and got[1][0].startswith("2 Bar Lane")
+
+
+def test_frequent_ngrams_of_all_lengths(spark):
+    rng = random.Random(19)
+    passage = [f"w{i}" for i in range(110)]
+    texts = [[rng.choice("abc") for _ in range(rng.randrange(30))] + passage[: rng.choice([2, 5, 9, 40, 110])] + [rng.choice("xyz")] for _ in range(80)]
+    n = Counter(tuple(t[p : p + k]) for t in texts for k in range(3, 101) for p in range(len(t) - k + 1))
+    n = {r: c for r, c in n.items() if c >= 6}
+    same = {inner for r, c in n.items() for inner in (r[1:], r[:-1]) if n.get(inner) == c}
+    got = audits.frequent_ngrams(spark.createDataFrame([(" ".join(t),) for t in texts] + [(None,), ("",)], "text string")).collect()
+    assert sorted(map(tuple, got)) == sorted((" ".join(r), c) for r, c in n.items() if r not in same)
+    assert max(len(r["term"].split()) for r in got) == 100
