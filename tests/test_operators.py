@@ -240,3 +240,11 @@ def test_frequent_ngrams_of_all_lengths(spark):
     got = audits.frequent_ngrams(spark.createDataFrame([(" ".join(t),) for t in texts] + [(None,), ("",)], "text string")).collect()
     assert sorted(map(tuple, got)) == sorted((" ".join(r), c) for r, c in n.items() if r not in same)
     assert max(len(r["term"].split()) for r in got) == 100
+
+
+def test_combine_final_takes_every_title(spark):
+    from placeweave.plans.views import view
+
+    titles_in = {r[0] for r in view(spark, SF, "titles").select("title_number").collect()}
+    got = plans.QUERIES["p8_combine_final"](spark, SF).filter("source in ('carried_forward_2022', 'epc_match')")
+    assert {r[0] for r in got.select("title_number").collect()} == titles_in
