@@ -40,8 +40,8 @@ def within(points: DataFrame, targets: DataFrame, radius: float, point_id: str =
     return joined.withColumn("d", d).filter(F.col("d") <= radius).select("point", "target", "d")
 
 
-def nearest(points: DataFrame, targets: DataFrame, point_id: str = "id", target_id: str = "UPRN", rings: tuple[float, ...] = (50, 500, 5000)) -> DataFrame:
-    """(point, target, d) with the nearest target, ties to the smallest; none beyond the last ring.
+def nearest(points: DataFrame, targets: DataFrame, point_id: str = "id", target_id: str = "UPRN", rings: tuple[float, ...] = (50, 500, 5000), beyond: bool = False) -> DataFrame:
+    """(point, target, d) with the nearest target, ties to the smallest; none past the last ring unless ``beyond``.
 
     The rings widen for the points that found nothing, so dense places never meet the wide cells.
     """
@@ -51,7 +51,27 @@ def nearest(points: DataFrame, targets: DataFrame, point_id: str = "id", target_
         hits = hits.select("point", "m.target", "m.d")
         found = hits if found is None else found.unionByName(hits)
         left = left.join(hits.select(F.col("point").alias(point_id)), point_id, "left_anti")
-    return found
+    return found.unionByName(_farthest(left, targets, rings[-1], point_id, target_id)) if beyond else found
+
+
+def _farthest(points: DataFrame, targets: DataFrame, size: float, point_id: str, target_id: str) -> DataFrame:
+    """The nearest target of points far from all: only cells that can hold it are opened."""
+    t = targets.select(F.col(target_id).alias("target"), "x", "y").filter("x is not null and y is not null")
+    t = t.withColumns({"cx": G.cell(F.col("x"), size), "cy": G.cell(F.col("y"), size)})
+    p = points.select(F.col(point_id).alias("point"), F.col("x").alias("px"), F.col("y").alias("py")).filter("px is not null and py is not null")
+    # As many boxes as the targets' cells, whatever the number of targets.
+    boxes = t.groupBy("cx", "cy").agg(F.min("x").alias("x0"), F.max("x").alias("x9"), F.min("y").alias("y0"), F.max("y").alias("y9"))
+    zero = F.lit(0.0)
+    pairs = p.crossJoin(boxes).select(
+        "point", "px", "py", "cx", "cy",
+        F.hypot(F.greatest(F.col("x0") - F.col("px"), zero, F.col("px") - F.col("x9")), F.greatest(F.col("y0") - F.col("py"), zero, F.col("py") - F.col("y9"))).alias("least"),
+        F.hypot(F.greatest(F.col("px") - F.col("x0"), F.col("x9") - F.col("px")), F.greatest(F.col("py") - F.col("y0"), F.col("y9") - F.col("py"))).alias("most"),
+    )
+    bound = pairs.groupBy("point").agg((F.min("most") * (1 + 1e-9)).alias("bound"))
+    near = pairs.join(bound, "point").filter(F.col("least") <= F.col("bound")).select("point", "px", "py", "cx", "cy")
+    d = G.distance(F.col("px"), F.col("py"), F.col("x"), F.col("y"))
+    hits = near.join(t, ["cx", "cy"]).groupBy("point").agg(F.min(F.struct(d.alias("d"), "target")).alias("m"))
+    return hits.select("point", "m.target", "m.d")
 
 
 def snap(results: DataFrame, uprns: DataFrame, cutoff: float = 50.0, row_id: str = "queue_key") -> DataFrame:
@@ -59,7 +79,7 @@ def snap(results: DataFrame, uprns: DataFrame, cutoff: float = 50.0, row_id: str
 
     ``results`` has x and y and may have inferred_from; ``uprns`` has UPRN, x and y.
     """
-    near = nearest(results, uprns, row_id, "UPRN", (cutoff, 10 * cutoff, 100 * cutoff))
+    near = nearest(results, uprns, row_id, "UPRN", (cutoff, 10 * cutoff, 100 * cutoff), beyond=True)
     out = results.join(near.withColumnRenamed("point", row_id), row_id, "left")
     close = F.coalesce(F.col("d") <= cutoff, F.lit(False))
     inferred = F.col("inferred_from").isNotNull() if "inferred_from" in results.columns else F.lit(False)

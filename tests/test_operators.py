@@ -242,6 +242,16 @@ def test_frequent_ngrams_of_all_lengths(spark):
     assert max(len(r["term"].split()) for r in got) == 100
 
 
+def test_snap_keeps_any_distance(spark):
+    rng = random.Random(2)
+    at = lambda i, lo, hi: (i, rng.uniform(lo, hi), rng.uniform(lo, hi))
+    homes = [at(i, 400_000.0, 440_000.0) for i in range(300)]
+    rows = [at(i, -300_000.0, 900_000.0) for i in range(40)] + [at(40, 419_000.0, 421_000.0)]
+    got = spatial.snap(spark.createDataFrame(rows, "id long, x double, y double"), spark.createDataFrame(homes, "UPRN long, x double, y double"), row_id="id")
+    least = {i: min(((x - a) ** 2 + (y - b) ** 2) ** 0.5 for _, a, b in homes) for i, x, y in rows}
+    assert {r["id"]: r["uprn_distance_m"] for r in got.collect()} == pytest.approx(least)
+
+
 def test_combine_final_takes_every_title(spark):
     from placeweave.plans.views import view
 
