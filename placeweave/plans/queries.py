@@ -714,7 +714,8 @@ def m8_sales_audit(spark, s):
 @query("titles known infill uprns")
 def m7_fuzzy_audit(spark, t, k, i, u):
     table = fuzzy.fuzzy_lookup(k, i, u).join(u.select("UPRN", "x", "y"), "UPRN", "left")
-    return audits.fuzzy_audit(fuzzy.match_fuzzy(_asked(t), table))
+    places = u.groupBy(K.normalise_postcode("postcode").alias("postcode")).agg(F.min("x").alias("x"), F.min("y").alias("y"))
+    return audits.fuzzy_audit(fuzzy.match_fuzzy(_asked(t), table, places))
 
 
 @query("titles")

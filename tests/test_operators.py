@@ -258,3 +258,11 @@ def test_combine_final_takes_every_title(spark):
     titles_in = {r[0] for r in view(spark, SF, "titles").select("title_number").collect()}
     got = plans.QUERIES["p8_combine_final"](spark, SF).filter("source in ('carried_forward_2022', 'epc_match')")
     assert {r[0] for r in got.select("title_number").collect()} == titles_in
+
+
+def test_fuzzy_audit_gets_places(spark, monkeypatch):
+    given = []
+    empty = spark.createDataFrame([], "fuzzy_block string, fuzzy_score double")
+    monkeypatch.setattr(fuzzy, "match_fuzzy", lambda rows, table, places=None: given.append(places) or empty)
+    plans.QUERIES["m7_fuzzy_audit"](spark, SF)
+    assert given[0] is not None and given[0].filter("x is not null and y is not null").count() > 0
