@@ -1,31 +1,39 @@
 """Fast whole-text encoding with the tokenizers library.
 
-Byte-pair encoders spend nearly all their time on the same words again and again.  A text may
-be cut at a space without changing its ids when the tokenizer itself always cuts there, so the
-pieces between spaces are encoded once per worker and remembered.  Texts in which a cut at a
-space could matter (white space before a space, for tokenizers that keep spaces) are encoded
-whole, so the ids always equal those of one call on the whole text.
+Byte-pair encoders spend nearly all their time on the same words again and again.  A text of plain
+characters is cut into the words that the tokenizer's own pattern finds in it; words are remembered,
+and only new ones go to the model.  In any other text the pieces between single spaces are taken one by one, if the
+tokenizer surely cuts there, and a piece of other characters is encoded by one library call; texts
+in which a cut at a space could matter, and texts that hold an added token, are encoded whole.  So the ids always
+equal those of one call on the whole text.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 #: White space, in the broadest sense, other than the space and the newline.
 _RARE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
-#: Characters of text that a worker cuts up and encodes at a time.
-BLOCK_CHARS = 4_000_000
-#: Marks that may follow a word; none of them begins a word to the tokenizers.
-MARKS = ".,;:!?#$%&*|"
+#: Latin letters up to U+024F, and those of them that lower-casing Latin-1 leaves; ASCII marks.
+_LETTERS, _SMALL, _MARKS = "A-Za-zÀ-ÖØ-öø-ɏ", "a-zß-öø-ÿ", r"!-/:-@\[-`{-~"
+#: The tokenizers' patterns over those characters and ASCII white space: contractions, letters, digits, marks, spaces.
+_WHITE = r" \t\n\r\f\v"
+_KEEPING = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
+_DROPPING = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{_SMALL}]+|[0-9]|[{_MARKS}]+")
+_KEEPING_JSON = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_DROPPING_REGEX = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: The byte-level scheme's characters: printable bytes stand for themselves, the others follow 255.
 _PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 BYTE_CHARS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 #: Marks a piece that begins its text.
 FIRST = "\x00"
+#: Bytes that a generation of a cache may take, an entry's own cost, and the longest key that is kept.
+CACHE_BYTES, ENTRY_BYTES, LONG = 96 << 20, 200, 64
 assert sys.byteorder == "little" and array("I").itemsize == 4
 _ENCODERS: dict[tuple[str, bool], "PieceEncoder"] = {}
 
@@ -37,11 +45,6 @@ def _parts_at_spaces(text: str) -> bool:
     return not any(c in text and c + " " in text for c in _RARE)
 
 
-def _latin(text: str) -> bool:
-    """Letters that no normalizer changes any more."""
-    return text == text.lower() and (text.isascii() or max(text) < "\u0100")
-
-
 def _lowered(text: str) -> str:
     """The text in lower case if the tokenizer's own lower-casing surely gives the same."""
     if not text.isascii():
@@ -52,108 +55,112 @@ def _lowered(text: str) -> str:
     return text.lower()
 
 
+class Generations(dict):
+    """A cache of what ``make`` gives for a key, bounded in bytes: the younger of two generations.
+
+    ``turned`` gives the cache to go on with: when this one is full it becomes the older generation,
+    and the one before it goes, so frequent keys stay.
+    """
+
+    __slots__ = ("make", "older", "spent")
+
+    def __init__(self, make: Callable[[str], bytes], older: dict[str, bytes] | None = None):
+        super().__init__()
+        self.make, self.older, self.spent = make, older or {}, 0
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= LONG:
+            self.spent += ENTRY_BYTES + len(key) + len(value)
+            self[key] = value
+        return value
+
+    def turned(self, limit: int) -> "Generations":
+        if self.spent <= limit:
+            return self
+        self.older = {}
+        return Generations(self.make, self)
+
+
 class PieceEncoder:
-    """Encodes texts to little-endian uint32 ids with a bounded cache of space-separated pieces.
+    """Encodes texts to little-endian uint32 ids, with bounded caches of pieces and of words.
 
     ``keeps_space``: the tokenizer joins a space to the word after it (byte-level BPE); otherwise
-    white space only separates and letter case is dropped.  The cache has two generations of about
-    ``generation`` pieces: when the younger is full the older goes, so frequent pieces stay.
+    white space only separates and letter case is dropped.  ``cache_bytes`` bounds each generation of
+    each cache.
     """
 
-    def __init__(self, path: str, keeps_space: bool, generation: int = 150_000):
+    def __init__(self, path: str, keeps_space: bool, cache_bytes: int = CACHE_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.keeps_space = keeps_space
-        self.generation = generation
-        #: Whether words can go to the model directly: the byte-level scheme, and no normalizer that the
-        #: pieces have not been through already.
+        self.keeps_space, self.cache_bytes = keeps_space, cache_bytes
         kind = json.loads(self.tokenizer.to_str())
-        steps = kind["pre_tokenizer"].get("pretokenizers", [kind["pre_tokenizer"]])
-        self.direct = kind["model"]["type"] == "BPE" and steps[-1]["type"] == "ByteLevel" and not steps[-1]["add_prefix_space"]
-        self.direct = self.direct and (kind["normalizer"] is None if keeps_space else True)
-        self.marks: dict[str, bytes] = {}
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        #: Strings that the tokenizer takes for added tokens wherever they stand.
+        self.added = [t["content"] for t in kind["added_tokens"]]
+        #: Whether the words of a piece are those of the patterns above and can go to the model directly.
+        first, *more = kind["pre_tokenizer"].get("pretokenizers", [kind["pre_tokenizer"]])
+        if keeps_space:
+            self.direct = not more and first == _KEEPING_JSON and kind["normalizer"] is None
+        else:
+            self.direct = first.get("pattern") == {"Regex": _DROPPING_REGEX} and [m["type"] for m in more] == ["ByteLevel"] and not more[0]["use_regex"]
+        self.direct = self.direct and kind["model"]["type"] == "BPE" and kind["post_processor"] is None
+        self.find = (_KEEPING if keeps_space else _DROPPING).findall
+        self.words = Generations(self._word)
+        self.pieces = Generations(self._piece)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Ids of each text from one library call on the whole texts."""
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _one(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces, as ``whole`` gives them.
-
-        A run of letters, and a run of marks after it, are words of their own to the byte-level
-        pre-tokenizers, so the model is asked for them directly, which costs half as much.
-        """
-        tokenize, marks, out = self.tokenizer.model.tokenize, self.marks, []
-        rest: list[str] = []
-        for p in pieces:
-            own = p[1:] if self.keeps_space and p[:1] == " " else p
-            core = own.rstrip(MARKS)
-            if not (self.direct and core.isalpha() and (self.keeps_space or _latin(core))):
-                out.append(b"")
-                rest.append(p)
-                continue
-            word = core if core.isascii() else core.encode().decode("latin-1").translate(BYTE_CHARS)
-            found = array("I", [t.id for t in tokenize("\u0120" + word if own is not p else word)]).tobytes()
-            if len(core) < len(own):
-                tail = own[len(core) :]
-                if tail not in marks:
-                    marks[tail] = self.whole([tail])[0]
-                found += marks[tail]
-            out.append(found)
-        if rest:
-            others = iter(x for i in range(0, len(rest), 8192) for x in self.whole(rest[i : i + 8192]))
-            left = iter(rest)
-            nxt = next(left, None)
-            for i, p in enumerate(pieces):
-                if nxt is not None and not out[i] and p == nxt:
-                    out[i], nxt = next(others), next(left, None)
-        return out
-
-    def _learn(self, wanted: set[str]) -> None:
-        if len(self.young) > self.generation:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        new = wanted - young.keys()
-        if again := new & old.keys():
-            young.update((p, old[p]) for p in again)
-            new -= again
-        if new:
-            names = list(new)
-            # A piece that begins a text is marked; the others follow a space.
-            plain = [p[1:] if p[:1] == FIRST else " " + p for p in names] if self.keeps_space else names
-            young.update(zip(names, self._one(plain)))
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+    def _word(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(BYTE_CHARS)
+        elif word[0] <= " ":  # white space, of which only a space can stand before a word
+            word = "\u0120" + word[1:] if word[0] == " " and len(word.rstrip()) > 0 else word.translate(BYTE_CHARS)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+
+    def _words(self, text: str) -> list[str] | None:
+        """The words that the tokenizer's pattern finds, or None if the text has characters beyond the pattern above."""
+        words = self.find(text) if self.direct else []
+        white = 0 if self.keeps_space else sum(map(text.count, " \n\t\r\f\v"))
+        return words if sum(map(len, words)) + white == len(text) else None
+
+    def _piece(self, piece: str) -> bytes:
+        if self.keeps_space:  # a piece that begins a text is marked; the others follow a space
+            piece = piece[1:] if piece[:1] == FIRST else " " + piece
+        words = self._words(piece)
+        return self.whole([piece])[0] if words is None else b"".join(map(self.words.__getitem__, words))
+
+    def _text(self, text: str) -> bytes:
+        if any(t in text for t in self.added):
+            return self.whole([text])[0]
+        text = text if self.keeps_space else _lowered(text)
+        words = self._words(text)
+        if words is not None:
+            return b"".join(map(self.words.__getitem__, words))
+        if not self.keeps_space:
+            parts = text.split(" ")
+        elif _parts_at_spaces(text):
+            parts = (FIRST + text).split(" ")
+        else:
+            return self.whole([text])[0]
+        return b"".join(map(self.pieces.__getitem__, parts))
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Ids of each text (None counts as empty) as little-endian uint32 bytes, in order."""
-        block, chars = [], 0
         for text in texts:
-            block.append(text or "")
-            chars += len(block[-1])
-            if chars >= BLOCK_CHARS:
-                yield from self._block(block)
-                block, chars = [], 0
-        yield from self._block(block)
-
-    def _block(self, texts: list[str]) -> list[bytes]:
-        kept: list[str] = []  # texts encoded whole
-        parts: list[list[str] | None] = []
-        for text in texts:
-            if not self.keeps_space:
-                parts.append(_lowered(text).split(" "))
-            elif _parts_at_spaces(text):
-                parts.append((FIRST + text).split(" "))
-            else:
-                parts.append(None)
-                kept.append(text)
-        self._learn(set().union(*[p for p in parts if p]))
-        whole, at = iter(self.whole(kept) if kept else ()), self.young.__getitem__
-        return [next(whole) if p is None else b"".join(map(at, p)) for p in parts]
+            yield self._text(text or "")
+            self.words, self.pieces = self.words.turned(self.cache_bytes), self.pieces.turned(self.cache_bytes)
+
+
+def strings(column: Iterable) -> Iterator[str | None]:
+    """The texts of an Arrow column, one at a time."""
+    return (x.as_py() for x in column)
 
 
 def encoder(path: str, keeps_space: bool) -> PieceEncoder:

@@ -18,12 +18,12 @@ from collections.abc import Iterator
 from operator import itemgetter
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .encoding import encoder
+from .encoding import encoder, strings
 
 WINDOW, GROUP_WINDOWS = 2048, 256
 #: The remainder of every so many-th document is cut into pieces of at most FILLER ids, which even
@@ -135,25 +135,26 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = WINDOW, w
     number times 2**40 plus a count); an empty table gives no rows.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([(c.split()[0], pa.int64()) for c in PIECES.split(", ")] + [("ids", pa.binary())] * with_ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer, keeps_space=False), np.array([end_id], dtype="<u4").tobytes()
         packer, base = Packer(capacity), TaskContext.get().partitionId() << 40
         held: dict[int, tuple] = {}
         number, ready = 0, []
 
-        def rows(found: list[tuple[int, int, int, int, int]]) -> pd.DataFrame:
+        def rows(found: list[tuple[int, int, int, int, int]]) -> pa.RecordBatch:
             out = []
             for doc, start, n, sequence, offset in found:
                 doc_id, ids = held[doc]
                 part = ids[4 * start : 4 * (start + n)]
                 row = (doc_id, start, n, zlib.crc32(part), len(ids) // 4, base + sequence, offset)
                 out.append((*row, part) if with_ids else row)
-            names = [c.split()[0] for c in PIECES.split(", ")] + ["ids"] * with_ids
-            return pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
         for batch in batches:
-            for doc_id, found in zip(batch["doc_id"].tolist(), encode.encode(batch["text"].tolist())):
-                held[number] = (None if pd.isna(doc_id) else int(doc_id), found + end)
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), encode.encode(strings(batch.column("text")))):
+                held[number] = (doc_id, found + end)
                 ready += packer.add(number, len(found) // 4 + 1)
                 number += 1
                 if packer.full or len(ready) >= GROUP_WINDOWS:
@@ -164,4 +165,4 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = WINDOW, w
             yield rows(ready + packer.deal())
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    return rows.mapInPandas(run, PIECES + ", ids binary" * with_ids)
+    return rows.mapInArrow(run, PIECES + ", ids binary" * with_ids)

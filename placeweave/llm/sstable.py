@@ -22,16 +22,18 @@ from __future__ import annotations
 import struct
 import zlib
 from bisect import bisect_left
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import cached_property, lru_cache
+from itertools import islice
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .encoding import encoder
+from .encoding import encoder, strings
 from .shared import written
 
 MAGIC = b"PWSST\x00\x00\x01"
@@ -40,7 +42,6 @@ BLOCK_BYTES, RESTART, BLOOM_BITS, BLOOM_HASHES = 64 * 1024, 16, 10, 7
 FOOTER = struct.Struct("<8sqqqQIQII")
 ENTRY, INDEX = struct.Struct("<BBI"), struct.Struct("<QI")
 SHARD_BYTES = 128 << 20
-ROWS = "doc_id long, shard long, shard_start long, n_tokens long, ids binary"
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -138,26 +139,41 @@ def _entries(block: bytes) -> Iterator[tuple[bytes, bytes]]:
 
 
 class Reader:
-    """A shard in memory: lookups by bisection, or all entries in order."""
+    """A shard behind ``read(offset, size)``: lookups by bisection, or all entries in order.
 
-    def __init__(self, content: bytes):
-        foot = content[-FOOTER.size - 1 : -1]
-        magic, self.shard, self.entries, self.ids, i_at, i_size, b_at, b_size, crc = FOOTER.unpack(foot)
+    The footer is read at once, the index and the filter when they are first asked for, and a block
+    when it is searched, so a lookup reads little of a large shard.
+    """
+
+    def __init__(self, read: Callable[[int, int], bytes], size: int):
+        foot = read(max(0, size - FOOTER.size - 1), FOOTER.size)
+        if len(foot) < FOOTER.size:
+            raise ValueError("not a sorted-string table")
+        magic, self.shard, self.entries, self.ids, *self.parts, crc = FOOTER.unpack(foot)
         if magic != MAGIC or zlib.crc32(foot[:-4]) != crc:
             raise ValueError("not a sorted-string table, or its footer is damaged")
-        self.content, self.bloom = content, content[b_at : b_at + b_size]
-        self.last_keys: list[bytes] = []
-        self.places: list[tuple[int, int]] = []
-        index, p = content[i_at : i_at + i_size], 0
+        self.read = read
+
+    @classmethod
+    def of(cls, content: bytes) -> "Reader":
+        """A shard that lies in memory."""
+        return cls(lambda at, size: content[at : at + size], len(content))
+
+    @cached_property
+    def index(self) -> tuple[list[bytes], list[tuple[int, int]]]:
+        """The last key of each block, and the blocks' places."""
+        index, p = self.read(*self.parts[:2]), 0
+        keys, places = [], []
         while p < len(index):
             n = index[p]
-            self.last_keys.append(index[p + 1 : p + 1 + n])
-            self.places.append(INDEX.unpack_from(index, p + 1 + n))
+            keys.append(index[p + 1 : p + 1 + n])
+            places.append(INDEX.unpack_from(index, p + 1 + n))
             p += 1 + n + INDEX.size
+        return keys, places
 
-    def block(self, i: int) -> bytes:
-        at, size = self.places[i]
-        return self.content[at : at + size]
+    @cached_property
+    def bloom(self) -> bytes:
+        return self.read(*self.parts[2:])
 
     def may_hold(self, key: bytes) -> bool:
         return all(self.bloom[b >> 3] >> (b & 7) & 1 for b in _probes(key, 8 * len(self.bloom)))
@@ -167,12 +183,14 @@ class Reader:
         key, found = key_of(doc_id), []
         if not self.may_hold(key):
             return found
-        for i in range(bisect_left(self.last_keys, key), len(self.places)):
-            block = self.block(i)
+        last_keys, places = self.index
+        for i in range(bisect_left(last_keys, key), len(places)):
+            block = self.read(*places[i])
             (restarts,) = struct.unpack_from("<I", block, len(block) - 8)
-            starts = struct.unpack_from(f"<{restarts}I", block, len(block) - 8 - 4 * restarts)
-            firsts = [block[s + ENTRY.size : s + ENTRY.size + block[s + 1]] for s in starts]
-            at, end, k = starts[max(0, bisect_left(firsts, key) - 1)], len(block) - 8 - 4 * restarts, b""
+            end = len(block) - 8 - 4 * restarts
+            start = lambda r: struct.unpack_from("<I", block, end + 4 * r)[0]  # noqa: B023, E731
+            first = lambda r: block[start(r) + ENTRY.size : start(r) + ENTRY.size + block[start(r) + 1]]  # noqa: B023, E731
+            at, k = start(max(0, bisect_left(range(restarts), key, key=first) - 1)), b""
             while at < end:
                 shared, unshared, size = ENTRY.unpack_from(block, at)
                 k = k[:shared] + block[at + ENTRY.size : at + ENTRY.size + unshared]
@@ -185,8 +203,8 @@ class Reader:
         return found
 
     def __iter__(self) -> Iterator[tuple[int | None, np.ndarray]]:
-        for i in range(len(self.places)):
-            for key, value in _entries(self.block(i)):
+        for place in self.index[1]:
+            for key, value in _entries(self.read(*place)):
                 yield id_of(key), unpack_ids(value)
 
 
@@ -206,66 +224,64 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, keeps_space:
     tie = F.xxhash64("text").alias("tie")
     ordered = rows.select("doc_id", "text", tie).repartitionByRange(shards, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
 
-    def sections(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, keeps_space)
         end = np.array([end_id], dtype="<u4").tobytes()
 
         def entries() -> Iterator[tuple[int | None, np.ndarray]]:
             for batch in batches:
-                for doc_id, found in zip(batch["doc_id"].tolist(), encode.encode(batch["text"].tolist())):
-                    yield None if pd.isna(doc_id) else int(doc_id), np.frombuffer(found + end, dtype="<u4")
+                for doc_id, found in zip(batch.column("doc_id").to_pylist(), encode.encode(strings(batch.column("text")))):
+                    yield doc_id, np.frombuffer(found + end, dtype="<u4")
 
         for section in build(entries(), TaskContext.get().partitionId()):
-            yield pd.DataFrame({"section": [section]})
+            yield pa.RecordBatch.from_arrays([pa.array([section])], names=["section"])
 
-    made = ordered.select("doc_id", "text").mapInPandas(sections, "section binary")
+    made = ordered.select("doc_id", "text").mapInArrow(sections, "section binary")
     made.select(F.col("section").cast("string").alias("value")).write.text(path, lineSep="\n")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Every document of the shards under ``path`` (``ROWS``); ids as little-endian uint32 bytes."""
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).filter(F.col("length") > 0).select("content")
+
+
+def _batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 2048) -> Iterator[pa.RecordBatch]:
+    rows = iter(rows)
+    while some := list(islice(rows, size)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some), schema)], schema=schema)
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _scan(spark: SparkSession, path: str, last: str, kind: pa.DataType, of: Callable[[np.ndarray], bytes | int]) -> DataFrame:
+    """Every document of the shards: doc_id, shard, shard_start, n_tokens, and ``of`` its ids as the column ``last``."""
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "shard", "shard_start", "n_tokens")] + [(last, kind)])
+
+    def entries(content: bytes) -> Iterator[tuple]:
+        shard, start = Reader.of(content), 0
+        for doc_id, ids in shard:
+            yield doc_id, shard.shard, start, len(ids), of(ids)
+            start += len(ids)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch["content"]:
-                shard, out, start = Reader(content), [], 0
-                for doc_id, ids in shard:
-                    out.append((doc_id, shard.shard, start, len(ids), ids.tobytes()))
-                    start += len(ids)
-                    if len(out) == 2048:
-                        yield _frame(out)
-                        out = []
-                yield _frame(out)
+            for content in batch.column("content"):
+                yield from _batches(entries(content.as_py()), schema)
 
-    files = spark.read.format("binaryFile").load(path).filter(F.col("length") > 0)
-    return files.select("content").mapInPandas(rows, ROWS)
+    names = "doc_id long, shard long, shard_start long, n_tokens long"
+    return _files(spark, path).mapInArrow(rows, f"{names}, {last} {'binary' if kind == pa.binary() else 'long'}")
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    df = pd.DataFrame(rows, columns=["doc_id", "shard", "shard_start", "n_tokens", "ids"])
-    return df.astype({"doc_id": "Int64"})
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """Every document of the shards under ``path``: doc_id, shard, shard_start (ids before it in its shard), n_tokens,
+    and ids as little-endian uint32 bytes.  No shards give no rows."""
+    return _scan(spark, path, "ids", pa.binary(), lambda ids: ids.tobytes())
 
 
 def summary(spark: SparkSession, path: str) -> DataFrame:
     """Per document: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, shard.
 
     The shards are read once, and only their documents' figures leave the readers; a total per shard
-    reaches the driver, which sums them up in shard order.
+    reaches the driver, which sums them up in shard order.  No shards give no rows.
     """
-
-    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for content in batch["content"]:
-                shard, start = Reader(content), 0
-                out = []
-                for doc_id, ids in shard:
-                    out.append((doc_id, shard.shard, start, len(ids), zlib.crc32(ids)))
-                    start += len(ids)
-                names = ["doc_id", "shard", "shard_start", "n_tokens", "ids_crc32"]
-                yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
-
-    files = spark.read.format("binaryFile").load(path).filter(F.col("length") > 0).select("content")
-    docs = written(files.mapInPandas(digest, "doc_id long, shard long, shard_start long, n_tokens long, ids_crc32 long"), "shards")
+    docs = written(_scan(spark, path, "ids_crc32", pa.int64(), zlib.crc32), "shards")
     before, base = 0, []
     for shard, ids in sorted(map(tuple, docs.groupBy("shard").agg(F.sum("n_tokens")).collect())):
         base.append((shard, before))
@@ -275,15 +291,51 @@ def summary(spark: SparkSession, path: str) -> DataFrame:
     return docs.join(F.broadcast(bases), "shard").select("doc_id", start, "n_tokens", "ids_crc32", "shard")
 
 
-def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
-    """The documents with the given identifiers (a stated list); each shard is searched, none scanned."""
+class Table:
+    """The shards under a path, in key order, for lookups from the driver.
 
-    def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for content in batch["content"]:
-                shard = Reader(content)
-                out = [(i, shard.shard, len(v), v.tobytes()) for i in doc_ids for v in shard.get(i)]
-                yield pd.DataFrame(out, columns=["doc_id", "shard", "n_tokens", "ids"])
+    Ranged reads go through the Hadoop file system that holds the path.  A lookup bisects over the
+    shards by the last keys of their sparse indexes, then searches one shard: footer, index and
+    filter of some log2(shards) shards and one block are read, and kept for the next lookup.
+    """
 
-    files = spark.read.format("binaryFile").load(path).filter(F.col("length") > 0).select("content")
-    return files.mapInPandas(hits, "doc_id long, shard long, n_tokens long, ids binary")
+    def __init__(self, spark: SparkSession, path: str):
+        jvm, where = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(path)
+        self.fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.bytes_of = jvm.org.apache.commons.io.IOUtils.toByteArray
+        files = sorted((f.getPath().getName(), f.getPath(), f.getLen()) for f in self.fs.listStatus(where))
+        self.files = [(p, size) for name, p, size in files if name.startswith("part-") and size]
+        self.reader = lru_cache(1024)(self._reader)
+        self.bytes_read = 0
+
+    def _reader(self, i: int) -> Reader:
+        path, size = self.files[i]
+
+        def read(at: int, n: int) -> bytes:
+            stream = self.fs.open(path)
+            try:
+                stream.seek(at)
+                self.bytes_read += n
+                return bytes(self.bytes_of(stream, n))
+            finally:
+                stream.close()
+
+        return Reader(read, size)
+
+    def get(self, doc_id: int | None) -> list[tuple[int, np.ndarray]]:
+        """(shard, ids) of every entry with this identifier."""
+        key, found = key_of(doc_id), []
+        last = lambda i: self.reader(i).index[0][-1]
+        for i in range(bisect_left(range(len(self.files)), key, key=last), len(self.files)):
+            shard = self.reader(i)
+            found += [(shard.shard, ids) for ids in shard.get(doc_id)]
+            if last(i) > key:  # a hot identifier may go on in the next shard
+                break
+        return found
+
+
+def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
+    """The documents with the given identifiers (a stated list): doc_id, shard, n_tokens, ids; none for an empty table."""
+    table = Table(spark, path)
+    hits = [(i, shard, len(v), v.tobytes()) for i in doc_ids for shard, v in table.get(i)]
+    return spark.createDataFrame(hits, "doc_id long, shard long, n_tokens long, ids binary")

@@ -11,6 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from placeweave.llm import (
     components, encoding, exact_dedup, license_scan, ngram_join, packing, preferences, quality_rules, sentencepiece_bridge, sstable, toxicity, url_rules,
@@ -33,14 +34,41 @@ EDGE = [(1, None), (2, ""), (3, "  \n\t "), (4, "word " * 30000), (5, "a b"), (5
 
 # -- encoding
 
+def plainly(name, texts):
+    """Ids of each text from a plain call of the library."""
+    t = Tokenizer.from_file(P.path(name))
+    return [np.array(t.encode(x or "", add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+
+
 @pytest.mark.parametrize(("name", "keeps"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_pieces_encode_like_whole_texts(name, keeps):
-    e = encoding.PieceEncoder(P.path(name), keeps, generation=50)
-    alphabet = "abcXYZéßØ .,!?'s#\n\t  3½中áΣς <|endoftext|>\u0301"
+    e = encoding.PieceEncoder(P.path(name), keeps, cache_bytes=2000)
     rng = random.Random(5)
-    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(800)]
-    texts += ["don't it's 3.5 foo.\nBar <|endoftext|> x", "İs ÀÉ ss", "", " ", "a  b", "a \n b"]
-    assert list(e.encode(texts)) == e.whole(texts)
+    texts = []
+    for alphabet in ("abcXYZéßØ .,!?'s#\n\t  3½中áΣς<|>\u0301", "abXé '\n 3.", "aB're l'd\r\n\t\x0b  9,;", "ab \u00a0\u2003\x1c\x85µª×÷ſKİı"):
+        texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(500)]
+    texts += ["don't it's 3.5 foo.\nBar <|endoftext|> x", "plain <|endoftext|> text", "<|ENDOFTEXT|>", "<|startoftext|>a", "İs ÀÉ ss", "", " ", "a  b", "a \n b", "\n\n\na\n\nb\n", "x" * 5000]
+    assert e.direct
+    assert list(e.encode(texts)) == plainly(name, texts)
+
+
+#: Neighbouring identifiers that no float tells apart, beside a null one.
+BIG = [(2**60 + 1, "first big one of them"), (2**60 + 3, "other big one <|endoftext|> end"), (None, "nobody"), (-2**63, ""), (2**63 - 1, None)]
+
+
+def test_identifiers_stay_whole_beside_nulls(spark):
+    docs = docs_of(spark, BIG).coalesce(1)
+    want = sorted((str(i), len(x) // 4 + 1, zlib.crc32(x + b"\x02\0\0\0")) for (i, t), x in zip(BIG, plainly("byte_bpe_50k.json", [t for _, t in BIG])))
+    path = shared_dir(spark, "test")
+    sstable.write(docs, path, P.path("byte_bpe_50k.json"), end_id=2, shards=1)
+    assert sorted((str(r["doc_id"]), r["n_tokens"], r["ids_crc32"]) for r in sstable.summary(spark, path).collect()) == want
+    packed = packing.pack(docs, P.path("word_bpe_49k.json"), end_id=1).collect()
+    assert sorted(str(r["doc_id"]) for r in packed) == sorted(str(i) for i, _ in BIG)
+    pieces = sentencepiece_bridge.encode(docs, P.path("piece_bpe_32k.model")).collect()
+    assert sorted(str(r["doc_id"]) for r in pieces) == sorted(str(i) for i, _ in BIG)
+    joined = ngram_join.join(docs).collect()
+    assert sorted(str(r["doc_id"]) for r in joined) == sorted(str(i) for i, _ in BIG)
+    assert all(r["component_id"] == r["doc_id"] for r in joined)
 
 
 # -- 1 sorted-string tables
@@ -50,8 +78,8 @@ def test_sstable_round_trip_and_lookup():
     entries = [(None, np.array([9], "<u4"))] + [(i, np.array([rng.randrange(70000) for _ in range(rng.randrange(40))], "<u4")) for i in sorted(rng.sample(range(-10**12, 10**12), 9000))]
     entries.insert(500, entries[500])
     content = b"".join(x + b"\n" for x in sstable.build(iter(entries), 3))
-    shard = sstable.Reader(content)
-    assert (shard.shard, shard.entries) == (3, len(entries)) and len(shard.places) > 3
+    shard = sstable.Reader.of(content)
+    assert (shard.shard, shard.entries) == (3, len(entries)) and len(shard.index[1]) > 3
     assert [(i, v.tolist()) for i, v in shard] == [(i, v.tolist()) for i, v in entries]
     for i, v in rng.sample(entries, 200):
         assert any(np.array_equal(v, x) for x in shard.get(i))
@@ -61,7 +89,7 @@ def test_sstable_round_trip_and_lookup():
     broken = bytearray(content)
     broken[10] ^= 1
     with pytest.raises(ValueError):
-        list(sstable.Reader(bytes(broken)))
+        list(sstable.Reader.of(bytes(broken)))
 
 
 def test_sstable_tables(spark):
@@ -69,16 +97,18 @@ def test_sstable_tables(spark):
     docs = docs_of(spark, EDGE + [(100 + i, f"text number {i}") for i in range(300)])
     sstable.write(docs, path, P.path("byte_bpe_50k.json"), end_id=2)
     got = sorted(map(tuple, sstable.summary(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32").collect()), key=lambda r: r[1])
-    e = encoding.PieceEncoder(P.path("byte_bpe_50k.json"), True)
-    want = sorted(((i, x + b"\x02\0\0\0") for (i, t), x in zip(EDGE + [(100 + i, f"text number {i}") for i in range(300)], e.whole([t or "" for _, t in EDGE] + [f"text number {i}" for i in range(300)]))), key=lambda r: (r[0] is not None, r[0] or 0))
+    rows = EDGE + [(100 + i, f"text number {i}") for i in range(300)]
+    want = sorted(((i, x + b"\x02\0\0\0") for (i, _), x in zip(rows, plainly("byte_bpe_50k.json", [t for _, t in rows]))), key=lambda r: (r[0] is not None, r[0] or 0))
     start = 0
     assert [g[0] for g in got] == [w[0] for w in want]
     for g in got:
         assert g[1] == start
         start += g[2]
     assert sorted((g[0] or -1, g[2], g[3]) for g in got) == sorted((i or -1, len(x) // 4, zlib.crc32(x)) for i, x in want)
-    found = sstable.lookup(spark, path, [5, 150, 9999]).collect()
-    assert sorted(r["doc_id"] for r in found) == [5, 5, 150]
+    found = sstable.lookup(spark, path, [5, 150, 9999, None]).collect()
+    assert sorted(r["doc_id"] or 0 for r in found) == [0, 5, 5, 150]
+    table = sstable.Table(spark, path)
+    assert len(table.get(301)) == 1 and 0 < table.bytes_read < sum(size for _, size in table.files)
     empty = shared_dir(spark, "test")
     sstable.write(docs.limit(0), empty, P.path("byte_bpe_50k.json"), end_id=2)
     assert sstable.summary(spark, empty).count() == 0
@@ -129,9 +159,8 @@ def test_packing(spark):
     rng = random.Random(3)
     rows = EDGE + [(100 + i, " ".join(rng.choice(["alpha", "beta", "gamma"]) for _ in range(rng.randrange(900)))) for i in range(400)]
     got = packing.pack(docs_of(spark, rows).coalesce(2), P.path("word_bpe_49k.json"), end_id=1, with_ids=True).collect()
-    e = encoding.PieceEncoder(P.path("word_bpe_49k.json"), False)
     want = {}
-    for (i, t), x in zip(rows, e.whole([t or "" for _, t in rows])):
+    for (i, _), x in zip(rows, plainly("word_bpe_49k.json", [t for _, t in rows])):
         want.setdefault(i, []).append(x + b"\x01\0\0\0")
     by_sequence = {}
     for r in got:
@@ -225,8 +254,11 @@ def test_sentencepiece_parity_and_round_trip(spark):
     b = sentencepiece_bridge.Bridge(P.path("piece_bpe_32k.model"), generation=50)
     rng = random.Random(4)
     texts = ["".join(rng.choice("abcXYZ éß .,!?'\n\t  3½中áΣ <s></s>▁") for _ in range(rng.randint(0, 40))) for _ in range(600)] + [None, ""]
-    for text, (raw, same) in zip(texts, b.encode(texts)):
-        assert same and np.frombuffer(raw, "<u4").tolist() == b.origin.encode(text or "")
+    texts += ["two words and more words", "two words, and more"]
+    for text, (raw, same, back) in zip(texts, b.encode(texts)):
+        ids = np.frombuffer(raw, "<u4").tolist()
+        assert same and ids == b.origin.encode(text or "")
+        assert back == (b.decode([ids])[0] == (text or ""))
     got = sentencepiece_bridge.encode(docs_of(spark, EDGE), P.path("piece_bpe_32k.model"), with_ids=True).collect()
     assert len(got) == len(EDGE) and all(r["parity"] and r["round_trip"] for r in got)
 
