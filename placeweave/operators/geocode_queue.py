@@ -7,7 +7,7 @@ snapshots side by side, so none is overwritten while it is read.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import keys as K
+from ..sources.sinks import exists
 from .lookups import flag_ambiguous
 from .relational import first_per_key, union_all
 
@@ -99,32 +100,43 @@ def usage_this_month(log: DataFrame, today: dt.date) -> int:
 RESULT = "queue_key string, addressLine string, adminDistrict string, formattedAddress string, latitude double, longitude double, confidence string, entityType string, matchCodes string"
 
 
-def run_batch(queue: DataFrame, geocoder: Callable[[pd.DataFrame], pd.DataFrame], n: int, confirm: bool = False, used: int = 0,
-              cap: int = MONTHLY_CAP, today: dt.date | None = None, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+class GeocoderError(Exception):
+    """What a geocoder raises when a call has no answer."""
+
+
+def run_batch(queue: DataFrame, geocoder: Callable[[pd.DataFrame], pd.DataFrame], n: int, store: str, batch: str, confirm: bool = False,
+              used: int = 0, cap: int = MONTHLY_CAP, today: dt.date | None = None, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
     """(next queue, results) after sending up to n rows; ``geocoder`` maps chunks of queue rows to result rows.
 
-    Nothing is sent without ``confirm`` or beyond the month's cap.  A row without a result has failed.  A
-    chunk whose call raises has failed as a whole.  The results are written before the queue is derived
-    from them by the caller, so no call is made twice.
+    Nothing is sent without ``confirm`` or beyond the month's cap, which bounds the rows that reach the
+    driver.  Calls cost money, so the driver makes them, once a chunk: no task of Spark's can repeat one.
+    The rows that go out and each chunk's answers are written below ``store``, under the batch's name, and both
+    results are read from there; the same batch run again calls only for chunks without answers.  A row without a
+    result has failed, as has a whole chunk whose call raises ``GeocoderError`` or ``OSError``; other errors are the
+    program's own and end the run.
     """
     if not confirm:
         raise PermissionError("geocoding costs money: pass confirm=True")
     if used + n > cap:
         raise PermissionError(f"{used} calls were made this month, {n} more exceed the cap of {cap}")
-    today = today or dt.date.today()
-
-    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in RESULT.split(", ")]
-        for batch in batches:
-            for at in range(0, len(batch), chunk):
-                try:
-                    yield geocoder(batch.iloc[at : at + chunk])[names]
-                except Exception:
-                    yield pd.DataFrame(columns=names)
-
-    sent = next_batch(queue, n).select("queue_key", "AddressLine", "PostalCode", "District")
-    results = sent.mapInPandas(call, RESULT)
-    return apply_results(queue, sent, results, today), results
+    spark, root = queue.sparkSession, f"{store.rstrip('/')}/batch={batch}"
+    names = [c.split()[0] for c in RESULT.split(", ")]
+    if not exists(spark, f"{root}/sent/_SUCCESS"):
+        rows = next_batch(queue, n).select("queue_key", "AddressLine", "PostalCode", "District")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{root}/sent")
+    sent = spark.read.parquet(f"{root}/sent")
+    rows = sent.toPandas()
+    for at in range(0, max(len(rows), 1), chunk):
+        path = f"{root}/answers/chunk={at // chunk:05d}"
+        if exists(spark, f"{path}/_SUCCESS"):
+            continue
+        try:
+            found = geocoder(rows.iloc[at : at + chunk])[names].values.tolist() if len(rows) else []
+        except (GeocoderError, OSError):
+            found = []
+        spark.createDataFrame(found, RESULT).coalesce(1).write.mode("overwrite").parquet(path)
+    results = spark.read.schema(RESULT).parquet(f"{root}/answers").select(*names)
+    return apply_results(queue, sent, results, today or dt.date.today()), results
 
 
 def apply_results(queue: DataFrame, sent: DataFrame, results: DataFrame, today: dt.date) -> DataFrame:

@@ -187,27 +187,6 @@ def cascade(titles: DataFrame, lookups: dict[str, DataFrame | None], row_id: str
         *[F.col(f"`{c}`") for c in titles.columns], "hit.UPRN", "hit.LATITUDE", "hit.LONGITUDE", "hit.match_quality", "hit.source")
 
 
-def cascade_in_turn(titles: DataFrame, lookups: dict[str, DataFrame | None], row_id: str = "row_id") -> DataFrame:
-    """The same, stage after stage; slower, and the standard that ``cascade`` is tested against."""
-    columns = stage_keys()
-    left = titles.select(F.col(row_id).alias("__row"), *[columns[k].alias(f"__{k}") for k in columns])
-    done = None
-    for key, name, quality in STAGES:
-        table = lookups.get(name)
-        if table is None:
-            continue
-        if name in CENTROIDS:
-            source = CENTROIDS[name] + ("_buried" if key.endswith("buried") else "")
-            table = table.select("key", F.lit(None).cast("long").alias("UPRN"), "LATITUDE", "LONGITUDE", F.lit(source).alias("match_source"))
-        table = table.select(F.col("key").alias(f"__{key}"), F.col("UPRN").cast("long").alias("UPRN"), "LATITUDE", "LONGITUDE",
-                             (F.lit(quality) if quality else F.col("match_quality")).alias("match_quality"),
-                             F.concat("match_source", F.lit("_match")).alias("source"))
-        hit = left.join(table, f"__{key}").select("__row", *table.columns[1:])
-        done = hit if done is None else done.unionByName(hit)
-        left = left.join(hit.select("__row"), "__row", "left_anti")
-    return titles.join(done, titles[row_id] == done["__row"], "left").drop("__row")
-
-
 def match_stage(rows: DataFrame, key: Column, lookup: DataFrame, quality: str | None = None) -> DataFrame:
     """One stage: ``rows`` with the lookup's columns, null where nothing matches."""
     own = F.lit(quality).alias("match_quality") if quality else F.col("match_quality")

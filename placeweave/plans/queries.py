@@ -243,30 +243,51 @@ def h1_lookup_dedupe(spark, e):
     return R.lookup_dedupe(e.select(K.match_key("addr", "POSTCODE").alias("key"), "UPRN"))
 
 
-_EPC = f"""epc AS (SELECT key, UPRN FROM (SELECT {s_key('addr', 'POSTCODE')} AS key, UPRN FROM epc_dom UNION ALL SELECT {s_key('adr1', 'postcode')}, UPRN FROM epc_nondom) WHERE key IS NOT NULL QUALIFY count(*) OVER (PARTITION BY key) = 1)"""
-_PP = f"""pp AS (SELECT key, UPRN FROM (SELECT {s_key('address1', 'postcode')} AS key, uprn AS UPRN FROM sales WHERE uprn IS NOT NULL) WHERE key IS NOT NULL QUALIFY count(*) OVER (PARTITION BY key) = 1)"""
-_BL = f"""bl AS (SELECT key, UPRN FROM (SELECT {s_bkey('addr', 'POSTCODE')} AS key, UPRN FROM epc_dom UNION ALL SELECT {s_bkey('adr1', 'postcode')}, UPRN FROM epc_nondom
-   UNION ALL SELECT {s_bkey('address1', 'postcode')}, uprn FROM sales WHERE uprn IS NOT NULL) WHERE key IS NOT NULL QUALIFY count(*) OVER (PARTITION BY key) = 1)"""
+_ONCE = "key IS NOT NULL QUALIFY count(*) OVER (PARTITION BY key) = 1"
+_EPC = f"""epc AS (SELECT * FROM (SELECT {s_key('addr', 'POSTCODE')} AS key, UPRN, LATITUDE, LONGITUDE, 'epc_dom' AS src FROM epc_dom
+   UNION ALL SELECT {s_key('adr1', 'postcode')}, UPRN, LATITUDE, LONGITUDE, 'epc_nondom' FROM epc_nondom) WHERE {_ONCE})"""
+_SOLD = "(SELECT address1, sales.postcode, uprns.UPRN, LATITUDE, LONGITUDE FROM sales JOIN uprns ON sales.uprn = uprns.UPRN) sold"
+_PP = f"""pp AS (SELECT * FROM (SELECT {s_key('address1', 'postcode')} AS key, UPRN, LATITUDE, LONGITUDE, 'price_paid' AS src FROM {_SOLD}) WHERE {_ONCE})"""
+_BL = f"""bl AS (SELECT * FROM (SELECT {s_bkey('addr', 'POSTCODE')} AS key, UPRN, LATITUDE, LONGITUDE, 'epc_dom_building' AS src FROM epc_dom
+   UNION ALL SELECT {s_bkey('adr1', 'postcode')}, UPRN, LATITUDE, LONGITUDE, 'epc_nondom_building' FROM epc_nondom
+   UNION ALL SELECT {s_bkey('address1', 'postcode')}, UPRN, LATITUDE, LONGITUDE, 'price_paid_building' FROM {_SOLD}) WHERE {_ONCE})"""
 _PD = """pd AS (SELECT postcode, district FROM (SELECT postcode, district, count(*) AS n FROM uprns GROUP BY postcode, district) QUALIFY row_number() OVER (PARTITION BY postcode ORDER BY n DESC, district) = 1)"""
-_ST = f"""st AS (SELECT key, UPRN, src FROM (SELECT {s_skey('house_number', 'street', 'district')} AS key, UPRN, address_source || '_street' AS src FROM known LEFT JOIN pd USING (postcode)) WHERE key IS NOT NULL QUALIFY count(*) OVER (PARTITION BY key) = 1)"""
-_IF = f"""inf AS (SELECT key, UPRN, 'infill_' || address_source AS src, CASE WHEN number_guessed THEN 'guess' WHEN address_source = 'osm_building' THEN 'medium' ELSE 'low' END AS q FROM
+_ST = f"""st AS (SELECT key, UPRN, LATITUDE, LONGITUDE, src FROM (SELECT {s_skey('house_number', 'street', 'district')} AS key, UPRN, LATITUDE, LONGITUDE, address_source || '_street' AS src FROM known LEFT JOIN pd USING (postcode)) WHERE {_ONCE})"""
+_IF = f"""inf AS (SELECT key, UPRN, LATITUDE, LONGITUDE, 'infill_' || address_source AS src, CASE WHEN number_guessed THEN 'guess' WHEN address_source = 'osm_building' THEN 'medium' ELSE 'low' END AS q FROM
    (SELECT {s_pc('postcode')} || '|' || upper(house_number) AS key, * FROM infill WHERE house_number IS NOT NULL UNION ALL SELECT {s_skey('house_number', 'street', 'district')}, * FROM infill WHERE house_number IS NOT NULL)
-   WHERE key IS NOT NULL QUALIFY count(*) OVER (PARTITION BY key) = 1)"""
-_PS = f"""ps AS (SELECT {s_pc('postcode')} AS key, min(UPRN) AS UPRN FROM nsul GROUP BY postcode HAVING count(*) = 1)"""
-_CASCADE = f"""k AS (SELECT row_id, {s_key('address_line', 'postcode')} AS num, {s_bkey('address_line', 'postcode')} AS bld,
-     {s_skey(s_num('address_line'), s_street('address_line'), 'district')} AS str, {s_pc('postcode')} AS pc FROM titles)
-  SELECT k.row_id, coalesce(epc.UPRN, pp.UPRN, bl.UPRN, st.UPRN, i1.UPRN, i2.UPRN, ps.UPRN) AS UPRN,
-    CASE WHEN epc.key IS NOT NULL OR pp.key IS NOT NULL OR bl.key IS NOT NULL THEN 'high' WHEN st.key IS NOT NULL THEN 'medium' WHEN i1.key IS NOT NULL THEN i1.q WHEN i2.key IS NOT NULL THEN i2.q WHEN ps.key IS NOT NULL THEN 'medium' END AS match_quality
-  FROM k LEFT JOIN epc ON epc.key = num LEFT JOIN pp ON pp.key = num LEFT JOIN bl ON bl.key = bld LEFT JOIN st ON st.key = str
-    LEFT JOIN inf i1 ON i1.key = num LEFT JOIN inf i2 ON i2.key = str LEFT JOIN ps ON ps.key = pc"""
-
-
-def _lookups(dom, non, sales, known, infill, nsul, uprns) -> dict[str, DataFrame]:
+   WHERE {_ONCE})"""
+_PS = f"""ps AS (SELECT key, UPRN, LATITUDE, LONGITUDE, 'postcode_singleton' AS src FROM (SELECT {s_pc('postcode')} AS key, min(UPRN) AS UPRN FROM nsul GROUP BY postcode HAVING count(*) = 1) JOIN (SELECT UPRN, LATITUDE, LONGITUDE FROM uprns) USING (UPRN))"""
+_SS = f"""sd AS (SELECT s.UPRN, s.LATITUDE, s.LONGITUDE, {s_name('district')} AS d FROM substations s JOIN (SELECT UPRN, district FROM uprns) USING (UPRN)),
+  sub AS (SELECT * FROM (SELECT d || '|' || {s_name('street')} AS key, UPRN, LATITUDE, LONGITUDE, 'substation_street' AS src, 'medium' AS q FROM sd JOIN uprn_usrn USING (UPRN) JOIN usrn_streets USING (USRN)
+   UNION ALL SELECT d, UPRN, LATITUDE, LONGITUDE, 'substation_district_singleton', 'low' FROM (SELECT * FROM sd QUALIFY count(*) OVER (PARTITION BY d) = 1)) WHERE {_ONCE})"""
+_BURIED = f"list_last(regexp_extract_all(address_line, '[A-Z][A-Za-z''-]*(?:\\s+[A-Z][A-Za-z''-]*){{0,4}}\\s+(?:{'|'.join(K.ROAD_SUFFIXES)})\\b'))"
+_HITS = [
+    ("epc", "num", "'high'", "src"), ("pp", "num", "'high'", "src"), ("bl", "bld", "'high'", "src"), ("st", "str", "'medium'", "src"),
+    ("sub", "CASE WHEN ss THEN d || '|' || seg END", "t.q", "src"), ("sub", "CASE WHEN ss THEN d END", "t.q", "src"),
+    ("inf", "num", "t.q", "src"), ("inf", "str", "t.q", "src"), ("ps", "pc", "'medium'", "src"),
+    ("boundary_points", "CASE WHEN num0 IS NULL THEN pc || '|' || seg END", "'street'", "'usrn_street_postcode_boundary'"),
+    ("postcode_middles", "CASE WHEN num0 IS NULL THEN pc || '|' || seg END", "'street'", "'usrn_street_centroid_postcode'"),
+    ("street_middles", "CASE WHEN num0 IS NULL THEN d || '|' || seg END", "'street'", "'usrn_street_centroid'"),
+    ("boundary_points", "CASE WHEN num0 IS NULL THEN pc || '|' || bur END", "'street'", "'usrn_street_postcode_boundary_buried'"),
+    ("postcode_middles", "CASE WHEN num0 IS NULL THEN pc || '|' || bur END", "'street'", "'usrn_street_centroid_postcode_buried'"),
+    ("street_middles", "CASE WHEN num0 IS NULL THEN d || '|' || bur END", "'street'", "'usrn_street_centroid_buried'"),
+]
+_CASCADE = f"""k AS (SELECT row_id, {s_key('address_line', 'postcode')} AS num, {s_bkey('address_line', 'postcode')} AS bld, {s_num('address_line')} AS num0,
+     {s_skey(s_num('address_line'), s_street('address_line'), 'district')} AS str, {s_pc('postcode')} AS pc, {s_name('district')} AS d, {s_name(s_seg('address_line'))} AS seg,
+     {s_name(_BURIED)} AS bur, regexp_matches(address_line, '(?i)\\bsub[- ]?stations?\\b') AS ss FROM titles),
+  h AS ({' UNION ALL '.join(f"SELECT row_id, {i} AS stage, {'NULL' if t.endswith(('middles', 'points')) else 't.UPRN'} AS UPRN, t.LATITUDE, t.LONGITUDE, {q} AS q, {src} || '_match' AS src FROM k JOIN {t} t ON t.key = {key}" for i, (t, key, q, src) in enumerate(_HITS))})
+  SELECT k.row_id, h.UPRN, h.LATITUDE, h.LONGITUDE, h.q AS match_quality, h.src AS source FROM k LEFT JOIN (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY stage) = 1) h ON h.row_id = k.row_id"""
+_CASCADE_VIEWS = "titles epc_dom epc_nondom sales known infill nsul uprns substations uprn_usrn usrn_streets boundary_points postcode_middles street_middles"
+
+
+def _lookups(dom, non, sales, known, infill, nsul, uprns, substations=None, uprn_usrn=None, usrn_streets=None, boundary=None, by_postcode=None, by_district=None) -> dict[str, DataFrame]:
+    sold = sales.join(uprns.select(F.col("UPRN").alias("uprn"), "LATITUDE", "LONGITUDE"), "uprn")
     return {
-        "epc": lookups.epc_lookup(dom, non), "price_paid": lookups.price_paid_lookup(sales.withColumns({"LATITUDE": F.lit(0.0), "LONGITUDE": F.lit(0.0)})),
-        "building": lookups.building_lookup(dom, non, sales.withColumns({"LATITUDE": F.lit(0.0), "LONGITUDE": F.lit(0.0)})),
+        "epc": lookups.epc_lookup(dom, non), "price_paid": lookups.price_paid_lookup(sold), "building": lookups.building_lookup(dom, non, sold),
         "street": lookups.street_lookup(known, lookups.postcode_district(uprns)), "infill": lookups.infill_lookup(infill),
         "postcode_singleton": lookups.postcode_singletons(nsul, uprns),
+        "substation": substations and lookups.substation_lookup(substations, uprns.select("UPRN", "district"), uprn_usrn, usrn_streets),
+        "street_postcode_boundary": boundary, "street_centroid_postcode": by_postcode, "street_centroid": by_district,
     }
 
 
@@ -274,9 +295,15 @@ def _asked(t: DataFrame) -> DataFrame:
     return t.select("row_id", F.col("title_number").alias("Title Number"), F.col("address_line").alias("AddressLine"), F.col("postcode").alias("PostalCode"), F.col("district").alias("District"))
 
 
-@query("titles epc_dom epc_nondom sales known infill nsul uprns", f"WITH {_EPC}, {_PP}, {_BL}, {_PD}, {_ST}, {_IF}, {_PS}, {_CASCADE}")
+@query(_CASCADE_VIEWS, f"WITH {_EPC}, {_PP}, {_BL}, {_PD}, {_ST}, {_IF}, {_PS}, {_SS}, {_CASCADE}")
 def f17_cascade(spark, t, *tables):
-    return lookups.cascade(_asked(t), _lookups(*tables)).select("row_id", "UPRN", "match_quality")
+    """All fifteen stages."""
+    return lookups.cascade(_asked(t), _lookups(*tables)).select("row_id", "UPRN", "LATITUDE", "LONGITUDE", "match_quality", "source")
+
+
+@query("substations uprns uprn_usrn usrn_streets", f"WITH {_SS} SELECT key, UPRN, src AS match_source, q AS match_quality FROM sub")
+def l7_substations(spark, s, u, usrn, names):
+    return lookups.substation_lookup(s, u.select("UPRN", "district"), usrn, names).select("key", "UPRN", "match_source", "match_quality")
 
 
 @query("titles epc_dom epc_nondom", f"""WITH {_EPC} SELECT row_id, UPRN, CASE WHEN UPRN IS NOT NULL THEN 'high' END AS match_quality FROM titles LEFT JOIN epc ON epc.key = {s_key('address_line', 'postcode')}""")
@@ -295,7 +322,7 @@ def l5_infill_lookup(spark, i):
     return lookups.infill_lookup(i).select("key", "UPRN", "match_source", "match_quality")
 
 
-@query("nsul uprns", f"WITH {_PS} SELECT key, ps.UPRN, LATITUDE FROM ps JOIN uprns ON ps.UPRN = uprns.UPRN")
+@query("nsul uprns", f"WITH {_PS} SELECT key, UPRN, LATITUDE FROM ps")
 def l6_g8_postcode_singletons(spark, n, u):
     return lookups.postcode_singletons(n, u).select("key", "UPRN", "LATITUDE")
 
@@ -447,12 +474,15 @@ def q_latest_state(spark, q):
     return geocode_queue.latest_state(q).select("queue_key", "status", "ts")
 
 
-@query("known uprn_usrn uprns", f"""WITH {_PD}, v AS (SELECT USRN, {s_name('street')} AS street, postcode FROM known JOIN uprn_usrn USING (UPRN)),
+_G9 = f"""{_PD}, v AS (SELECT USRN, {s_name('street')} AS street, postcode FROM known JOIN uprn_usrn USING (UPRN)),
   s AS (SELECT USRN, street, count(*) AS n, sum(count(*)) OVER (PARTITION BY USRN) AS total FROM v GROUP BY USRN, street QUALIFY row_number() OVER (PARTITION BY USRN ORDER BY n DESC, street) = 1),
-  c AS (SELECT USRN, postcode, count(*) AS n FROM v GROUP BY USRN, postcode QUALIFY row_number() OVER (PARTITION BY USRN ORDER BY n DESC, postcode) = 1)
-  SELECT USRN, s.street, s.n AS street_n, round(s.n / total, 6) AS street_agreement, c.postcode, pd.district,
+  c AS (SELECT USRN, postcode, count(*) AS n FROM v GROUP BY USRN, postcode QUALIFY row_number() OVER (PARTITION BY USRN ORDER BY n DESC, postcode) = 1),
+  g9 AS (SELECT USRN, s.street, s.n AS street_n, round(s.n / total, 6) AS street_agreement, c.postcode, pd.district,
     CASE WHEN s.n >= 3 AND s.n / total >= 0.8 THEN 'high' WHEN s.n >= 2 THEN 'medium' ELSE 'low' END AS street_confidence
-  FROM s JOIN c USING (USRN) LEFT JOIN pd ON pd.postcode = c.postcode WHERE s.n / total >= 0.6""")
+  FROM s JOIN c USING (USRN) LEFT JOIN pd ON pd.postcode = c.postcode WHERE s.n / total >= 0.6)"""
+
+
+@query("known uprn_usrn uprns", f"WITH {_G9} SELECT * FROM g9")
 def g9_street_names(spark, k, uu, u):
     out = addresses.street_names(uu, k, lookups.postcode_district(u))
     return out.select("USRN", "street", "street_n", F.round("street_agreement", 6).alias("street_agreement"), "postcode", "district", "street_confidence")
@@ -531,9 +561,9 @@ def j2_snap(spark, g, u):
 
 
 @query("geocodes uprns", """SELECT g.id AS point, u.UPRN AS target, round(sqrt((g.x - u.x) ** 2 + (g.y - u.y) ** 2), 4) AS d FROM geocodes g, uprns u WHERE (g.x - u.x) ** 2 + (g.y - u.y) ** 2 <= 750 ** 2
-  QUALIFY row_number() OVER (PARTITION BY g.id ORDER BY sqrt((g.x - u.x) ** 2 + (g.y - u.y) ** 2), u.UPRN) <= 20""")
+  QUALIFY row_number() OVER (PARTITION BY g.id ORDER BY sqrt((g.x - u.x) ** 2 + (g.y - u.y) ** 2), u.UPRN) <= 300""")
 def j3_k_nearest(spark, g, u):
-    return spatial.k_nearest(g, u, 750.0, 20, "id", "UPRN").select("point", "target", F.round("d", 4).alias("d"))
+    return spatial.k_nearest(g, u, 750.0, 300, "id", "UPRN").select("point", "target", F.round("d", 4).alias("d"))
 
 
 _SEG_D = "(SELECT g.id AS p, r.id AS s, r.name, g.x - (r.x1 + t * (r.x2 - r.x1)) AS dx, g.y - (r.y1 + t * (r.y2 - r.y1)) AS dy FROM (SELECT g.*, r.*, greatest(0, least(1, ((g.x - x1) * (x2 - x1) + (g.y - y1) * (y2 - y1)) / ((x2 - x1) ** 2 + (y2 - y1) ** 2))) AS t FROM geocodes g, roads r))"
@@ -559,12 +589,12 @@ def j8_link_oml(spark, r):
     return spatial.link_oml(r.select(F.col("id").alias("USRN"), line.alias("line")), roads)
 
 
-@query("geocodes squares uprns", f"""WITH i AS (SELECT u.UPRN, s.id AS osm_id FROM uprns u JOIN squares s ON {_IN} WHERE s.id <= 5 QUALIFY count(*) OVER (PARTITION BY u.UPRN) = 1),
+@query("geocodes squares uprns", f"""WITH i AS (SELECT u.UPRN, s.id AS osm_id FROM uprns u JOIN squares s ON {_IN} QUALIFY count(*) OVER (PARTITION BY u.UPRN) = 1),
   n AS (SELECT g.id + 100 AS osm_id, u.UPRN FROM geocodes g JOIN uprns u ON (g.x - u.x) ** 2 + (g.y - u.y) ** 2 <= 400 QUALIFY count(*) OVER (PARTITION BY g.id) = 1),
   m AS (SELECT osm_id, UPRN FROM n QUALIFY count(*) OVER (PARTITION BY UPRN) = 1)
   SELECT UPRN, osm_id FROM i UNION ALL SELECT UPRN, osm_id FROM m""")
 def j10_substation_uprns(spark, g, s, u):
-    return spatial.substation_uprns(g.select((F.col("id") + 100).alias("osm_id"), "x", "y"), _square(s).filter("id <= 5").withColumnRenamed("id", "osm_id"), u)
+    return spatial.substation_uprns(g.select((F.col("id") + 100).alias("osm_id"), "x", "y"), _square(s).withColumnRenamed("id", "osm_id"), u)
 
 
 @query("squares", "SELECT id, side * side AS area, 4 * side AS perimeter FROM squares")
@@ -699,9 +729,12 @@ def m5_infill_audit(spark, i, u, k):
     return audits.infill_audit(u.join(k, "UPRN", "left_anti"), i).select(F.col("n_candidates").cast("long").alias("n_candidates"), F.col("n_gained_any_info").cast("long").alias("n_gained_any_info"))
 
 
-@query("uprn_usrn known uprns", "SELECT count(DISTINCT USRN) AS n_usrn_total FROM uprn_usrn")
+@query("uprn_usrn known uprns", f"""WITH {_G9}, t AS (SELECT count(DISTINCT USRN) AS n FROM uprn_usrn)
+  SELECT t.n AS n_usrn_total, count(USRN) AS n_usrn_named, round_even(count(USRN) / greatest(t.n, 1), 4) AS pct_usrn_named, count(district) AS n_usrn_with_district,
+    round_even(count(district) / greatest(count(USRN), 1), 4) AS pct_usrn_with_district, count(postcode) AS n_usrn_with_postcode, count(*) FILTER ({s_valid('postcode')}) AS n_usrn_postcode_valid FROM g9, t GROUP BY t.n""")
 def m4_street_name_audit(spark, uu, k, u):
-    return audits.street_name_audit(uu, addresses.street_names(uu, k, lookups.postcode_district(u))).select(F.col("n_usrn_total").cast("long").alias("n_usrn_total"))
+    out = audits.street_name_audit(uu, addresses.street_names(uu, k, lookups.postcode_district(u)))
+    return out.withColumn("n_usrn_total", F.col("n_usrn_total").cast("long"))
 
 
 @query("sales", """SELECT coalesce(CAST(y AS VARCHAR), 'TOTAL') AS year, count(*) AS n, count(uprn) AS n_matched_initial, count(*) FILTER (uprn IS NULL AND price > 50000) AS n_matched_rematch,
@@ -753,7 +786,7 @@ def q_c_run_batch(spark, t):
         return pd.DataFrame({"queue_key": hit["queue_key"], "addressLine": hit["AddressLine"], "adminDistrict": hit["District"], "formattedAddress": hit["AddressLine"],
                              "latitude": 52.0, "longitude": -1.0, "confidence": "High", "entityType": "Address", "matchCodes": "Good"})
 
-    queue, _ = geocode_queue.run_batch(geocode_queue.build_queue(_asked(t)), stub, 300, confirm=True)
+    queue, _ = geocode_queue.run_batch(geocode_queue.build_queue(_asked(t)), stub, 300, sinks.work_dir(spark, "geocoded"), "first", confirm=True)
     return queue.groupBy("status").agg(F.count("*").alias("n"))
 
 

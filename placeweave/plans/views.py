@@ -29,6 +29,11 @@ def postcode(c: str) -> str:
     return f"('AB' || CAST({c} % 19 + 1 AS STRING) || ' ' || CAST({c} % 9 + 1 AS STRING) || 'CD')"
 
 
+def lone_postcode(c: str) -> str:
+    """The same, but some properties have a postcode of their own."""
+    return f"CASE WHEN {c} % 17 = 0 THEN 'ZZ' || CAST({c} AS STRING) || ' 9ZZ' ELSE {postcode(c)} END"
+
+
 def street(c: str, words: str = STREETS) -> str:
     return pick(words, c)
 
@@ -52,7 +57,7 @@ VIEWS: dict[str, str] = {
           || CASE WHEN k % 10 = 1 AND pc IS NOT NULL THEN ' and 2 ' || st || ' (AB1 1CD)' ELSE '' END AS property_address
       FROM (SELECT o_orderkey AS k, c, d, {number('c')} AS no, {street('c')} AS st,
               CASE WHEN o_orderkey % 4 = 3 THEN 'Leasehold' ELSE 'Freehold' END AS tenure,
-              CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE {postcode('c')} END AS pc
+              CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE {lone_postcode('c')} END AS pc
             FROM orders JOIN ({_PLACED}) AS placed ON o_custkey = c) AS t""",
     "old_titles": f"""
       SELECT 'T' || CAST(o_orderkey AS STRING) AS title_number,
@@ -92,7 +97,21 @@ VIEWS: dict[str, str] = {
         {pick('epc_dom|price_paid|dec', 'c_custkey')} AS address_source, {_LAT} AS LATITUDE, {_LON} AS LONGITUDE, {_X} AS x, {_Y} AS y
       FROM customer WHERE c_custkey % 4 <> 0""",
     "uprn_usrn": "SELECT c_custkey AS UPRN, c_custkey % 11 + 11 * (c_nationkey % 5) AS USRN FROM customer",
-    "nsul": f"SELECT c_custkey AS UPRN, {postcode('c_custkey')} AS postcode, 'E0' || CAST(c_nationkey AS STRING) AS lad_code FROM customer WHERE c_custkey % 6 <> 5",
+    "nsul": f"SELECT c_custkey AS UPRN, {lone_postcode('c_custkey')} AS postcode, 'E0' || CAST(c_nationkey AS STRING) AS lad_code FROM customer WHERE c_custkey % 6 <> 5",
+    # Places of streets, by district and by postcode, and where they cross a postcode's boundary.
+    "street_middles": f"""
+      SELECT upper(n_name) || '|' || upper({street('c_custkey')}) AS key, max({_LAT}) AS LATITUDE, min({_LON}) AS LONGITUDE, CAST(count(*) AS INT) AS n_usrn
+      FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, {street('c_custkey')} HAVING count(*) % 3 <> 0""",
+    "postcode_middles": f"""
+      SELECT replace({postcode('c_custkey')}, ' ', '') || '|' || upper({street('c_custkey')}) AS key, max({_LAT}) AS LATITUDE, min({_LON}) AS LONGITUDE, CAST(count(*) AS INT) AS n_usrn
+      FROM customer WHERE c_custkey % 3 <> 0 GROUP BY {postcode('c_custkey')}, {street('c_custkey')}""",
+    "boundary_points": f"""
+      SELECT replace({postcode('c_custkey')}, ' ', '') || '|' || upper({street('c_custkey')}) AS key, max({_LAT}) AS LATITUDE, min({_LON}) AS LONGITUDE, CAST(count(*) AS INT) AS n_usrn
+      FROM customer WHERE c_custkey % 4 = 1 GROUP BY {postcode('c_custkey')}, {street('c_custkey')}""",
+    # Some districts have one substation, some more; a few streets are named after theirs.
+    "substations": f"""
+      SELECT c_custkey AS UPRN, {_LAT} AS LATITUDE, {_LON} AS LONGITUDE FROM customer WHERE c_custkey % 67 = 3""",
+    "usrn_streets": f"SELECT c_custkey % 11 + 11 * (c_nationkey % 5) AS USRN, max(CASE WHEN c_custkey % 11 = 3 THEN 'substation' ELSE {street('c_custkey')} END) AS street FROM customer GROUP BY c_custkey % 11 + 11 * (c_nationkey % 5)",
     "lad_names": "SELECT 'E0' || CAST(n_nationkey AS STRING) AS lad_code, n_name AS lad_name FROM nation",
     "releases": f"""
       SELECT l_partkey AS UPRN, CAST(date_trunc('month', l_shipdate) AS DATE) AS date, CAST(max(l_quantity) AS DOUBLE) AS X_COORDINATE, CAST(min(l_quantity) AS DOUBLE) AS Y_COORDINATE,

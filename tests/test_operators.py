@@ -39,12 +39,25 @@ def test_guard():
 def test_cascade_equals_one_stage_after_another(spark):
     from placeweave.plans.views import view
 
-    t = plans._asked(view(spark, SF, "titles"))
+    t = plans._asked(view(spark, SF, "titles")).cache()
     tables = plans._lookups(*[view(spark, SF, n) for n in ("epc_dom", "epc_nondom", "sales", "known", "infill", "nsul", "uprns")])
     key = lambda c: spark.createDataFrame([(c, 51.0, -1.0, 1)], "key string, LATITUDE double, LONGITUDE double, n_usrn int")
     tables |= {"street_centroid": key("FRANCE|HIGH STREET"), "street_centroid_postcode": key("AB11CD|MILL LANE"), "substation": tables["infill"].limit(0)}
-    a, b = lookups.cascade(t, tables), lookups.cascade_in_turn(t, tables).select(*lookups.cascade(t, tables).columns)
-    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and a.filter("source is not null").count() > 0
+    kinds = lookups.stage_keys()
+    rows = t.select("row_id", *[c.alias(k) for k, c in kinds.items()]).collect()
+    found = {name: {r["key"]: r for r in table.collect()} for name, table in tables.items()}
+    want = {}
+    for r in rows:
+        want[r["row_id"]] = (None,) * 5
+        for kind, name, quality in lookups.STAGES:
+            hit = found.get(name, {}).get(r[kind])
+            if hit is not None and r[kind] is not None:
+                centroid = lookups.CENTROIDS.get(name)
+                source = centroid + "_buried" * kind.endswith("buried") if centroid else hit["match_source"]
+                want[r["row_id"]] = (None if centroid else hit["UPRN"], hit["LATITUDE"], hit["LONGITUDE"], quality or hit["match_quality"], source + "_match")
+                break
+    got = {r["row_id"]: tuple(r)[1:] for r in lookups.cascade(t, tables).select("row_id", "UPRN", "LATITUDE", "LONGITUDE", "match_quality", "source").collect()}
+    assert got == want and sum(v[4] is not None for v in want.values()) > 0
 
 
 def test_buried_street_stage(spark):
@@ -158,14 +171,26 @@ def test_queue_lifecycle(spark, tmp_path):
     again = geocode_queue.assign_flats(q)
     assert {r["queue_key"]: r["status"] for r in again.collect()} == status
     with pytest.raises(PermissionError):
-        geocode_queue.run_batch(q, lambda d: d, 5)
+        geocode_queue.run_batch(q, lambda d: d, 5, str(tmp_path), "a")
     with pytest.raises(PermissionError):
-        geocode_queue.run_batch(q, lambda d: d, 5, confirm=True, used=4999)
+        geocode_queue.run_batch(q, lambda d: d, 5, str(tmp_path), "a", confirm=True, used=4999)
+
+    calls = []
 
     def stub(d):
+        calls.extend(d["queue_key"])
+        if len(calls) == 1:
+            raise geocode_queue.GeocoderError("busy")
         return pd.DataFrame({"queue_key": d["queue_key"], "addressLine": "", "adminDistrict": "", "formattedAddress": "", "latitude": 53.0, "longitude": -1.0, "confidence": "High", "entityType": "Address", "matchCodes": ""})
 
-    done, results = geocode_queue.run_batch(q, stub, 2, confirm=True, today=dt.date(2026, 1, 2))
+    failed, none = geocode_queue.run_batch(q, stub, 1, str(tmp_path), "a", confirm=True)
+    assert none.count() == 0 and failed.filter("status = 'failed'").count() == 1
+    done, results = geocode_queue.run_batch(q, stub, 2, str(tmp_path), "b", confirm=True, today=dt.date(2026, 1, 2), chunk=1)
+    for _ in range(2):  # each row is sent once, however often the tables are read and the batch is run again
+        assert done.count() == q.count() and results.count() == 2 and len(calls) == 3
+        done, results = geocode_queue.run_batch(q, stub, 2, str(tmp_path), "b", confirm=True, today=dt.date(2026, 1, 2), chunk=1)
+    with pytest.raises(KeyError):
+        geocode_queue.run_batch(q, lambda d: d[["no such column"]], 2, str(tmp_path), "c", confirm=True)
     assert {r["status"] for r in done.filter("attempts = 1").collect()} == {"done"}
     placed = results.withColumns({"x": F.lit(10.0), "y": F.lit(20.0)})
     stack = lambda n: spark.createDataFrame([(i, 11.0, 20.0) for i in range(n)], "UPRN long, x double, y double")
