@@ -7,12 +7,17 @@ pairs left are verified on their whole sets, after a last bound from where the m
 the other (suffix filter).
 
 * Documents with equal sets form one class before anything is joined, so copies cost one row each.
-* How rare a shingle is, is estimated from a table of counters of fixed size over all documents.
-  Any order that is the same everywhere gives the same links; the estimate only decides the cost.
+* How rare a shingle is, is estimated from a table of counters over all documents.  Any order that is
+  the same everywhere gives the same links; the estimate only decides the cost.
 * Classes that share a prefix shingle form a list; of lists with the same members one is kept.
   Large groups of near copies are not paired off: a list's members are first compared with a few of
-  them, and what is found to be connected is not compared again.  Then all pairs of a list that
-  pass the filters and are not connected yet are verified, so no link between components is lost.
+  them, and what is found to be connected is not compared again; while many members are left and
+  links are found, with a few others.  Then all pairs of a list that pass the filters and are not
+  connected yet are made, each in the first of the lists that its two members share, and verified,
+  so no link between components is lost.
+* Besides the filters by prefix, each class has a sketch of its whole set: bits that say whether an odd
+  number of shingles fell on them.  Where two sketches differ, the sets do, so the number of
+  differing bits bounds the overlap from above, whatever the size of the sets.
 """
 
 from __future__ import annotations
@@ -23,20 +28,23 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import written
+from .encoding import strings
+from .shared import Scratch, written
 
 WORDS, PERCENT = 5, 75
-#: Counters of the rarity table, and the bits that say which sets are wanted: fixed sizes, whatever the input.
-COUNTERS, BLOCKS, WANTED_BITS = 1 << 21, 16, 1 << 24
-#: Members of a list with which all its others are compared.
-STARS = 3
-#: Longs of bits by which shared shingles are bounded from above before they are counted.
-BITS = 4
+#: Least and most counters of the rarity table, and bits of a table that says which sets are wanted: between them,
+#: so many for each document.
+COUNTERS, WANTED, EACH, BLOCKS = (1 << 21, 1 << 24), (1 << 24, 1 << 28), 64, 16
+#: Members of a list with which all its others are compared in a round; pairs for each member that need no further round.
+STARS, FEW = 3, 16
+#: Longs of a set's sketch, and shared prefix shingles by which a pair's first list is told.
+SKETCH, FIRST = 16, 16
 #: Bytes that part words; a random number for each byte, the same for A-Z as for a-z; an odd base and its inverse.
 _PARTS = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _BYTES = np.random.default_rng(20).integers(0, 2**64, 256, "uint64")
@@ -125,52 +133,69 @@ def _summed(parts: DataFrame) -> DataFrame:
     return step.groupBy("block").applyInPandas(add, "block int, counts binary")
 
 
-def rarity(docs: DataFrame, text: str = "text", n: int = WORDS) -> np.ndarray:
+def _sized(docs: int, bounds: tuple[int, int]) -> int:
+    """A power of two within the bounds that grows with the number of documents."""
+    return min(bounds[1], max(bounds[0], 1 << (docs * EACH).bit_length()))
+
+
+def rarity(docs: DataFrame, text: str = "text", n: int = WORDS, counters: int = COUNTERS[0]) -> np.ndarray:
     """For each counter a level that grows with the number of documents that hold its shingles."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = np.zeros(COUNTERS, "uint32")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(counters, "uint32")
         for batch in batches:
-            for t in batch["text"]:
-                np.add.at(table, (shingles(t, n) & np.uint64(COUNTERS - 1)).astype("int64"), np.uint32(1))
+            for t in strings(batch.column("text")):
+                np.add.at(table, (shingles(t, n) & np.uint64(counters - 1)).astype("int64"), np.uint32(1))
         for i, part in enumerate(np.split(table, BLOCKS)):
             if part.any():
-                yield pd.DataFrame({"block": [i], "counts": [_squeezed(part)]})
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([_squeezed(part)])], names=["block", "counts"])
 
-    levels = np.zeros(COUNTERS, "uint8")
-    size = COUNTERS // BLOCKS
-    for row in _summed(_texts(docs, text).mapInPandas(count, "block int, counts binary")).collect():
+    levels = np.zeros(counters, "uint8")
+    size = counters // BLOCKS
+    for row in _summed(_texts(docs, text).select("text").mapInArrow(count, "block int, counts binary")).collect():
         counts = np.frombuffer(zlib.decompress(row["counts"]), "<u4").astype("float64")
         levels[row["block"] * size : (row["block"] + 1) * size] = np.minimum(255, 8 * np.log2(1 + counts))
     return levels
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Bits that say whether an odd number of the set's shingles fell on them, as ``SKETCH`` longs."""
+    odd = np.bincount((s >> np.uint64(40)).astype("int64") % (64 * SKETCH), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(bool)).view("int64")
+
+
 def prefixes(docs: DataFrame, levels: np.ndarray, text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per document: doc_id, size of its set, two hashes of the set, and its prefix, rarest shingles first."""
+    """Per document: doc_id, size of its set, two hashes of the set, its prefix, rarest shingles first, and its sketch."""
     level = docs.sparkSession.sparkContext.broadcast(levels)
+    longs = pa.list_(pa.int64())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rare = level.value
         for batch in batches:
-            out = []
-            for doc_id, t in zip(batch["doc_id"], batch["text"]):
+            sizes, halves, firsts, sketches = [], [], [], []
+            for t in strings(batch.column("text")):
                 s = shingles(t, n)
                 first = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
-                order = np.lexsort((s, rare[(s & np.uint64(COUNTERS - 1)).astype("int64")]))[:first]
+                order = np.lexsort((s, rare[(s & np.uint64(len(rare) - 1)).astype("int64")]))[:first]
                 h = xxhash.xxh3_128_intdigest(s.tobytes())
-                halves = np.array([h & (2**64 - 1), h >> 64], "uint64").view("int64")
-                out.append((doc_id, len(s), halves[0], halves[1], s[order].view("int64")))
-            yield pd.DataFrame(out, columns=["doc_id", "n", "a", "b", "prefix"]).astype({"doc_id": "Int64"})
+                sizes.append(len(s))
+                halves.append((h & (2**64 - 1), h >> 64))
+                firsts.append(s[order].view("int64"))
+                sketches.append(sketch(s))
+            if sizes:
+                a, b = np.array(halves, "uint64").view("int64").T
+                columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(a), pa.array(b), pa.array(firsts, longs), pa.array(sketches, longs)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "a", "b", "prefix", "sketch"])
 
-    return _texts(docs, text).mapInPandas(run, "doc_id long, n long, a long, b long, prefix array<long>")
+    return _texts(docs, text).mapInArrow(run, "doc_id long, n long, a long, b long, prefix array<long>, sketch array<long>")
 
 
-def _wanted(ids: DataFrame) -> np.ndarray:
+def _wanted(ids: DataFrame, bits: int) -> np.ndarray:
     """Bits by hash of the identifiers in ``ids`` (id)."""
+    size = bits // BLOCKS
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at = np.unique(np.concatenate([np.empty(0, "int64"), *[np.unique(_bit(batch["id"].to_numpy())) for batch in batches]]))
-        size = WANTED_BITS // BLOCKS
+        at = np.unique(np.concatenate([np.empty(0, "int64"), *[np.unique(_bit(batch["id"].to_numpy(), bits)) for batch in batches]]))
         for i in np.unique(at // size).tolist():
             part = np.zeros(size, bool)
             part[at[(at >= i * size) & (at < (i + 1) * size)] - i * size] = True
@@ -180,26 +205,26 @@ def _wanted(ids: DataFrame) -> np.ndarray:
         out = np.bitwise_or.reduce([np.frombuffer(zlib.decompress(x), "uint8") for x in frame["counts"]])
         return pd.DataFrame({"block": [frame["block"].iloc[0]], "counts": [zlib.compress(out.tobytes(), 1)]})
 
-    found = np.zeros((BLOCKS, WANTED_BITS // BLOCKS // 8), "uint8")
-    parts = ids.mapInPandas(mark, "block int, counts binary").groupBy("block").applyInPandas(merge, "block int, counts binary")
+    found = np.zeros((BLOCKS, size // 8), "uint8")
+    parts = ids.filter("id is not null").mapInPandas(mark, "block int, counts binary").groupBy("block").applyInPandas(merge, "block int, counts binary")
     for row in parts.collect():
         found[row["block"]] = np.frombuffer(zlib.decompress(row["counts"]), "uint8")
     return found.reshape(-1)
 
 
-def _bit(ids: np.ndarray) -> np.ndarray:
-    return (_mixed(ids.astype("int64").view("uint64")) & np.uint64(WANTED_BITS - 1)).astype("int64")
+def _bit(ids: np.ndarray, bits: int) -> np.ndarray:
+    return (_mixed(ids.astype("int64").view("uint64")) & np.uint64(bits - 1)).astype("int64")
 
 
 def _marked(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    at = _bit(ids)
+    at = _bit(ids, 8 * len(bits))
     return (bits[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)
 
 
-def texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``texts`` (id, text) whose id is in ``ids`` (id): no shuffle, as a table of bits, which has a fixed
-    size, lets them through, and in a very large join some others that later joins drop."""
-    bits = texts.sparkSession.sparkContext.broadcast(_wanted(ids))
+def texts_of(texts: DataFrame, ids: DataFrame, size: int = WANTED[0]) -> DataFrame:
+    """The rows of ``texts`` (id, text) whose id is in ``ids`` (id): no shuffle, as a table of ``size`` bits lets
+    them through, and in a very large join some others that later joins drop."""
+    bits = texts.sparkSession.sparkContext.broadcast(_wanted(ids, size))
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,121 +233,182 @@ def texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.filter("id is not null").mapInArrow(some, "id long, text string")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``pairs`` (x, y) whose texts' sets reach the threshold."""
     ids = pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id"))).distinct()
-    some = written(texts_of(texts, ids), "paired")
+    some = scratch.written(texts_of(texts, ids), "paired")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}  # the joins leave pairs of one text side by side
+
+        def of(i: int, text: str) -> np.ndarray:
+            if i not in known:
+                if len(known) == 64:
+                    known.clear()
+                known[i] = shingles(text, n)
+            return known[i]
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            good = [similar(shingles(a, n), shingles(b, n), percent) for a, b in zip(batch["s"], batch["t"])]
-            yield batch.loc[good, ["x", "y"]]
+            x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
+            good = [similar(of(i, a.as_py()), of(j, b.as_py()), percent) for i, j, a, b in zip(x, y, batch.column("s"), batch.column("t"))]
+            yield batch.select(["x", "y"]).filter(pa.array(good, pa.bool_()))
 
     left = pairs.join(some.select(F.col("id").alias("x"), F.col("text").alias("s")), "x")
     both = left.join(some.select(F.col("id").alias("y"), F.col("text").alias("t")), "y")
-    return both.select("x", "y", "s", "t").mapInPandas(check, "x long, y long").distinct()
+    return both.select("x", "y", "s", "t").mapInArrow(check, "x long, y long").distinct()
 
 
-def shared_postings(classes: DataFrame, tokens: DataFrame) -> DataFrame:
+def shared_postings(classes: DataFrame, tokens: DataFrame, size: int = WANTED[0]) -> DataFrame:
     """(token, c, n, i) for the prefix shingles that are in ``tokens`` (token), and some others."""
-    bits = classes.sparkSession.sparkContext.broadcast(_wanted(tokens.select(F.col("token").alias("id"))))
+    bits = classes.sparkSession.sparkContext.broadcast(_wanted(tokens.select(F.col("token").alias("id")), size))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.array([len(p) for p in batch["prefix"]], "int64")
-            token = np.concatenate(batch["prefix"].tolist()) if len(batch) else np.empty(0, "int64")
+            lists = batch.column("prefix")
+            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype("int64")
+            token = pc.list_flatten(lists).to_numpy(zero_copy_only=False)
             i = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             keep = _marked(bits.value, token)
-            out = {"token": token, "c": np.repeat(batch["c"].to_numpy(), sizes), "n": np.repeat(batch["n"].to_numpy(), sizes), "i": i}
-            yield pd.DataFrame({k: v[keep] for k, v in out.items()})
+            out = [token, *(np.repeat(batch.column(k).to_numpy(zero_copy_only=False), sizes) for k in ("c", "n")), i]
+            yield pa.RecordBatch.from_arrays([pa.array(v[keep], pa.int64()) for v in out], names=["token", "c", "n", "i"])
 
-    return classes.select("c", "n", "prefix").mapInPandas(run, "token long, c long, n long, i long")
+    return classes.select("c", "n", "prefix").mapInArrow(run, "token long, c long, n long, i long")
 
 
 def _near(percent: int) -> Column:
-    """The filters for a row (n, i, s, over, b*) and another (m, j, other_s, other_over, o*) of one list; plain
-    arithmetic, as it runs for every pair that a list brings together.
+    """The filters for a row (n, i, s, k*) and another (m, j, other_s, o*) of one list; plain arithmetic, as it
+    runs for every pair that a list brings together.
 
     Length; position (a shared shingle at places i and j of the two orders leaves room for so much
-    overlap); and prefix: what is shared up to the smaller of the two last prefix shingles lies in both
-    prefixes, and what follows is less than the rest of one of the two sets.
+    overlap); prefix (what is shared up to the smaller of the two last prefix shingles lies in both
+    prefixes, and what follows is less than the rest of one of the two sets); and sketch (the sets
+    differ in as many shingles as their sketches do in bits, at least).
     """
     least, most = F.least("n", "m"), F.greatest("n", "m")
     need = F.ceil(percent * (F.col("n") + F.col("m")) / (100 + percent))
     possible = F.least("i", "j") + 1 + F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) - 1
     length = 100 * least >= percent * most
     after = F.ceil(percent * most / 100) - 1
-    # Shared shingles lie under the bits that both set; those that met on one bit are counted besides.
-    bits = sum((F.bit_count(F.col(f"b{k}").bitwiseAND(F.col(f"o{k}"))) for k in range(1, BITS)), F.bit_count(F.col("b0").bitwiseAND(F.col("o0"))))
-    cheap = (F.least("s", "other_s") + after >= need) & (bits + F.least("over", "other_over") + after >= need)
-    return length & (possible >= need) & cheap
+    apart = sum((F.bit_count(F.col(f"k{k}").bitwiseXOR(F.col(f"o{k}"))) for k in range(1, SKETCH)), F.bit_count(F.col("k0").bitwiseXOR(F.col("o0"))))
+    return length & (possible >= need) & (F.least("s", "other_s") + after >= need) & (apart <= F.col("n") + F.col("m") - 2 * need)
 
 
-def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, and component_id, the smallest doc_id that
-    links reach.
+#: The columns of a member that a pair's filters read, and their names on the other side.
+SIDES = {"c": "d", "n": "m", "i": "j", "s": "other_s", **{f"k{k}": f"o{k}" for k in range(SKETCH)}}
 
-    Texts without words, null texts and null identifiers link with nothing (component_id is the
-    row's own doc_id).  doc_id is taken to name one text; if rows repeat it, all their classes are
-    tied together by it.  An empty table gives no rows.
+
+def _members(classes: DataFrame, scratch: Scratch, bits: int) -> DataFrame:
+    """The lists: a row for each class and prefix shingle that it shares with another class.
+
+    token, c, n, the shingle's place i, the class's number s of shared shingles, its sketch k*, and
+    earlier, the first of its shared shingles that come before this one.
     """
-    table = written(prefixes(docs, rarity(docs, text, n), text, n, percent), "prefixes")
-    real = table.filter("n > 0 and doc_id is not null")
-    # Equal sets: one row per class, its first document and its prefix; combined before the shuffle.
-    classes = written(real.groupBy("a", "b").agg(F.min("doc_id").alias("c"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "classes")
-    postings = classes.select("c", "n", F.posexplode("prefix").alias("i", "token"))
     # Most prefix shingles occur once: counting them needs only themselves, and the postings of the
     # others are picked out by a table of bits before they are shuffled.
-    often = written(postings.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token"), "often")
-    members = shared_postings(classes, often).join(often, "token", "left_semi")
+    tokens = classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("k"))
+    often = scratch.written(tokens.filter("k > 1").select("token"), "often")
+    members = shared_postings(classes, often, bits).join(often, "token", "left_semi")
     # Lists with the same members (the same count and hashes) give the same candidates: one of them stays.
-    # Per class, how many of its prefix shingles are shared with anyone, and 256 bits that they set.
-    part, bit = F.shiftright("token", 6).bitwiseAND(F.lit(BITS - 1).cast("long")), F.expr("shiftleft(1L, cast(token & 63 AS int))")
-    marks = members.groupBy("c").agg(F.count("*").alias("s"), *[F.coalesce(F.bit_or(F.when(part == k, bit)), F.lit(0).cast("long")).alias(f"b{k}") for k in range(BITS)])
-    set_ = sum((F.bit_count(f"b{k}") for k in range(1, BITS)), F.bit_count("b0"))
-    marks = marks.withColumn("over", F.col("s") - set_)
     who = members.groupBy("token").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("c")).alias("who"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("too"))
     lists = who.groupBy("k", "who", "too").agg(F.min("token").alias("token")).select("token")
-    members = written(members.join(lists.select("token"), "token", "left_semi").join(marks, "c"), "members")
-    texts = _texts(docs, text).withColumnRenamed("doc_id", "id")
-    texts = written(texts_of(texts, members.select(F.col("c").alias("id")).distinct()), "texts")
-
-    # First each list's members against a few of them.
-    sides = {"c": "d", "n": "m", "i": "j", "s": "other_s", "over": "other_over", **{f"b{k}": f"o{k}" for k in range(BITS)}}
-    other = members.select("token", *[F.col(old).alias(new) for old, new in sides.items()])
-    picks = [F.min_by(F.struct(*sides.values()), F.xxhash64("d", F.lit(k))).alias(f"p{k}") for k in range(STARS)]
-    centres = other.groupBy("token").agg(*picks)
-    centres = centres.select("token", F.explode(F.array_distinct(F.array(*[f"p{k}" for k in range(STARS)]))).alias("p")).select("token", "p.*")
-    found = members.join(centres, (members["token"] == centres["token"]) & (F.col("c") != F.col("d")) & _near(percent))
-    star = written(_pairs(found), "pairs")
-    links = written(verified(star, texts, n, percent), "links")
-    tied = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
-    # Then, in the lists whose members are not all connected, every pair across the gaps: those outside
-    # a list's largest component against all others of the list.
-    joined = members.join(tied, members["c"] == tied["node"], "left").withColumn("component", F.coalesce("component", "c")).drop("node")
+    per_class = members.groupBy("c").agg(F.count("*").alias("s"))
+    kept = scratch.written(members.join(lists, "token", "left_semi").join(per_class, "c"), "kept")
+    # A class has at most as many of them as its prefix is long.
+    firsts = kept.groupBy("c").agg(F.slice(F.sort_array(F.collect_list(F.struct("i", "token"))), 1, FIRST).alias("firsts"))
+    sketches = classes.select("c", *[F.col("sketch")[k].alias(f"k{k}") for k in range(SKETCH)])
+    earlier = F.filter("firsts", lambda x: x["i"] < F.col("i"))["token"].alias("earlier")
+    rows = kept.join(firsts, "c").join(sketches, "c")
+    return scratch.written(rows.select("token", "c", "n", "i", "s", *[f"k{k}" for k in range(SKETCH)], earlier), "members")
+
+
+def _open(members: DataFrame, tied: DataFrame | None) -> DataFrame:
+    """The members of the lists that hold more than one component, with component and the list's largest one."""
+    component = F.col("c").alias("component")
+    if tied is not None:
+        members = members.join(tied.withColumnRenamed("component", "tied"), members["c"] == F.col("node"), "left").drop("node")
+        component = F.coalesce("tied", "c").alias("component")
+    joined = members.select("*", component).drop("tied")
     parts = joined.groupBy("token", "component").agg(F.count("*").alias("k"))
-    open_ = parts.groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("largest"), F.count("*").alias("parts")).filter("parts > 1")
-    joined = written(joined.join(open_.drop("parts"), "token"), "open")
-    sides |= {"component": "other"}
-    other = joined.select(F.col("token").alias("t"), *[F.col(old).alias(new) for old, new in sides.items()])
-    apart = (F.col("token") == F.col("t")) & (F.col("component") != F.col("other")) & ((F.col("other") == F.col("largest")) | (F.col("c") < F.col("d")))
-    small = joined.filter(F.col("component") != F.col("largest"))
-    rest = written(_pairs(small.join(other, apart & _near(percent))).join(star, ["x", "y"], "left_anti"), "pairs")
-    more = not rest.isEmpty()
-    if more:
-        links = links.unionByName(written(verified(rest, texts, n, percent), "links"))
-
-    # Documents to classes to components; a repeated identifier ties the classes that it is in.
-    ids = table.join(classes.select("a", "b", "c"), ["a", "b"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("c")).alias("node"))
-    ids = written(ids, "ids")
-    twice = ids.filter("doc_id is not null and node is not null").groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
-    if not twice.isEmpty():
-        ties = ids.join(twice, "doc_id").filter("node <> lo").select(F.col("lo").alias("x"), F.col("node").alias("y")).distinct()
-        links, more = links.unionByName(ties), True
-    if more:
-        tied = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")), "documents")
-    component = F.coalesce("component", "node", "doc_id")
-    return ids.join(tied, "node", "left").select("doc_id", "n_shingles", component.alias("component_id"))
+    lists = parts.groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("largest"), F.count("*").alias("parts"))
+    return joined.join(lists.filter("parts > 1").drop("parts"), "token")
+
+
+def _stars(members: DataFrame, outside: DataFrame, percent: int, salt: int) -> DataFrame:
+    """Pairs of members with a few members of the same list in ``outside``, which pass the filters."""
+    other = outside.select("token", *[F.col(old).alias(new) for old, new in SIDES.items()])
+    picks = [F.min_by(F.struct(*SIDES.values()), F.xxhash64("d", F.lit(salt + k))).alias(f"p{k}") for k in range(STARS)]
+    centres = other.groupBy("token").agg(*picks)
+    centres = centres.select(F.col("token").alias("t"), F.explode(F.array_distinct(F.array(*[f"p{k}" for k in range(STARS)]))).alias("p")).select("t", "p.*")
+    return _pairs(members.join(centres, (F.col("token") == F.col("t")) & (F.col("c") != F.col("d")) & _near(percent)))
+
+
+def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, and component_id, the smallest doc_id that
+    links reach.  Other columns are ignored.
+
+    Texts without words, null texts and null identifiers link with nothing (component_id is the
+    row's own doc_id).  doc_id is taken to name one text; if rows repeat it, all their classes are
+    tied together by it.  An empty table gives no rows.
+    """
+    with Scratch(docs.sparkSession) as scratch:
+        rows = docs.count()
+        bits = _sized(rows, WANTED)
+        levels = rarity(docs, text, n, _sized(rows, COUNTERS))
+        table = scratch.written(prefixes(docs, levels, text, n, percent), "prefixes")
+        real = table.filter("n > 0 and doc_id is not null")
+        # Equal sets: one row per class, its first document, prefix and sketch; combined before the shuffle.
+        classes = scratch.written(real.groupBy("a", "b").agg(F.min("doc_id").alias("c"), *[F.first(x).alias(x) for x in ("n", "prefix", "sketch")]), "classes")
+        members = _members(classes, scratch, bits)
+        texts = _texts(docs, text).withColumnRenamed("doc_id", "id")
+        texts = scratch.written(texts_of(texts, members.select(F.col("c").alias("id")).distinct(), bits), "texts")
+
+        # First each list's members against a few of them; again with others, while that finds links and leaves many.
+        tried = scratch.written(_stars(members, members, percent, 0), "pairs")
+        links = scratch.written(verified(tried, texts, scratch, n, percent), "links")
+        tied, salt, limit = _components(links, scratch), STARS, FEW * members.count()
+        open_ = scratch.written(_open(members, tied), "open")
+        while _gaps(open_) > limit:
+            new = scratch.written(_stars(open_, open_.filter("component <> largest"), percent, salt).join(tried, ["x", "y"], "left_anti"), "pairs")
+            found = scratch.written(verified(new, texts, scratch, n, percent), "links")
+            tried, salt = tried.unionByName(new), salt + STARS
+            if found.isEmpty():
+                break
+            links = links.unionByName(found)
+            tied = _components(links, scratch)
+            open_ = scratch.written(_open(members, tied), "open")
+        # Then every pair across the gaps: those outside a list's largest component against all others of the list, in
+        # the first list that they share.
+        sides = SIDES | {"component": "other", "earlier": "before"}
+        other = open_.select(F.col("token").alias("t"), *[F.col(old).alias(new) for old, new in sides.items()])
+        apart = (F.col("token") == F.col("t")) & (F.col("component") != F.col("other")) & ((F.col("other") == F.col("largest")) | (F.col("c") < F.col("d")))
+        small = open_.filter(F.col("component") != F.col("largest"))
+        rest = _pairs(small.join(other, apart & _near(percent) & ~F.arrays_overlap("earlier", "before")))
+        rest = scratch.written(rest.join(tried, ["x", "y"], "left_anti"), "pairs")
+        more = not rest.isEmpty()
+        if more:
+            links = links.unionByName(scratch.written(verified(rest, texts, scratch, n, percent), "links"))
+
+        # Documents to classes to components; a repeated identifier ties the classes that it is in.
+        ids = table.join(classes.select("a", "b", "c"), ["a", "b"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("c")).alias("node"))
+        ids = scratch.written(ids, "ids")
+        twice = ids.filter("doc_id is not null and node is not null").groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
+        if not twice.isEmpty():
+            ties = ids.join(twice, "doc_id").filter("node <> lo").select(F.col("lo").alias("x"), F.col("node").alias("y")).distinct()
+            links, more = links.unionByName(ties), True
+        if more:
+            tied = _components(links, scratch)
+        component = F.coalesce("component", "node", "doc_id")
+        return written(ids.join(tied, "node", "left").select("doc_id", "n_shingles", component.alias("component_id")), "joined")
+
+
+def _components(links: DataFrame, scratch: Scratch) -> DataFrame:
+    return components(links.select(F.col("x").alias("u"), F.col("y").alias("v")), scratch=scratch)
+
+
+def _gaps(open_: DataFrame) -> int:
+    """How many pairs the lists would bring together across their gaps, at most."""
+    sizes = open_.groupBy("token").agg(F.count("*").alias("k"), F.count(F.when(F.col("component") != F.col("largest"), 1)).alias("out"))
+    return sizes.agg(F.sum(F.col("k") * F.col("out"))).first()[0] or 0
 
 
 def _pairs(found: DataFrame) -> DataFrame:

@@ -161,6 +161,20 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+OP10_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4] FOR i IN range(1, len(w) - 3)]) END AS g FROM w),
+s AS (SELECT doc_id, len(g) AS n, unnest(g) AS s FROM g),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+      HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+l AS (SELECT x, y FROM p UNION ALL SELECT y, x FROM p),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT l.y, r.c FROM r JOIN l ON l.x = r.doc_id),
+m AS (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id)
+SELECT doc_id, len(g)::BIGINT AS n_shingles, c AS component_id FROM g JOIN m USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sstable": op1_sstable,
     "op2_exact_dedup": op2_exact_dedup,
@@ -178,4 +192,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_preferences": OP4_SQL,
     "op5_url_rules": OP5_SQL,
     "op6_license_scan": OP6_SQL,
+    "op10_ngram_join": OP10_SQL,
 }

@@ -9,23 +9,61 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path below the cluster's ``spark.checkpoint.dir``.
+    """A new path below the cluster's ``spark.checkpoint.dir``, or the checkpoint folder that was set on the context.
 
-    Only where that setting is missing (tests, a laptop) a local folder is chosen and set.
+    A local folder is chosen only where neither is set and Spark runs in one process (tests, a
+    laptop); on a cluster that is an error, as executors would not see each other's files.
     """
-    top = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    top = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not top:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         top = "file://" + tempfile.mkdtemp(prefix="placeweave-")
         spark.conf.set("spark.checkpoint.dir", top)
-        spark.sparkContext.setCheckpointDir(top)
     return f"{top.rstrip('/')}/placeweave-{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Bytes of an Arrow batch while a table is written: what a Python worker holds at a time.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+SMALL_BATCH = str(8 << 20)
+
+
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """The rows as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, path or shared_dir(df.sparkSession, name)
+    before = spark.conf.get(BATCH_BYTES, None)
+    spark.conf.set(BATCH_BYTES, SMALL_BATCH)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(BATCH_BYTES) if before is None else spark.conf.set(BATCH_BYTES, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Tables that one job needs on its way: written to the shared folder, deleted when the job is done.
+
+    What the job returns must not read them any more.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.append(shared_dir(self.spark, name))
+        return written(df, name, self.paths[-1])
+
+    def drop(self) -> None:
+        """Delete the tables written so far."""
+        while self.paths:
+            remove(self.spark, self.paths.pop())
+
+    def __exit__(self, *_) -> None:
+        self.drop()
 
 
 def remove(spark: SparkSession, path: str) -> None:
