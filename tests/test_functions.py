@@ -25,22 +25,22 @@ def run(spark, function, *values, kind="string"):
 
 
 CASES = [
-    (B.tidy, "@MNS Market Street", "Market Street"),
-    (B.tidy, "the site of Weeland Road, Knottingley", "Weeland Road, Knottingley"),
-    (B.tidy, "and 11 Wood Street (); Bradford", "11 Wood Street; Bradford"),
-    (B.tidy, "being a Garage on North Lane, Headingley", "a Garage on North Lane, Headingley"),
-    (B.tidy, "east of Somerton Road, Street", "Somerton Road, Street"),
-    (B.tidy, "12 High Street and", "12 High Street"),
-    (B.tidy, "The Old Vicarage, Church Lane", "The Old Vicarage, Church Lane"),
-    (K.street_name, "23 Fir Tree Gardens, Leeds", "Fir Tree Gardens"),
-    (K.street_name, "6, Leyfield Road, Leeds", "Leyfield Road"),
-    (K.street_name, "2 (Consecutive numbers) Moorcrest Road", "Moorcrest Road"),
-    (K.street_name, "Ivy Cottage, Ackton Lane", None),
-    (K.street_name, "348 Lowedges Road Lowedges Road and substation Lowedges Road", "Lowedges Road"),
-    (K.buried_street, "Land adjoining Old Mill Lane, rear of Foo Street", "Foo Street"),
-    (K.building_name, "Flat 3, 10 High Street", None),
-    (K.flat_base, "Flat 7, Constantine House,  14 Boulevard Drive", "CONSTANTINE HOUSE, 14 BOULEVARD DRIVE"),
-    (K.flat_base, "5 Mill Fold, Ripponden", None),
+    (B.tidy, "@ASP Harbour Parade", "Harbour Parade"),
+    (B.tidy, "the site of Kiln Hill, Ashby", "Kiln Hill, Ashby"),
+    (B.tidy, "and 27 Cooper Row (); Truro", "27 Cooper Row; Truro"),
+    (B.tidy, "being a Boathouse on Quay Road, Bude", "a Boathouse on Quay Road, Bude"),
+    (B.tidy, "east of Linden Grove, Wells", "Linden Grove, Wells"),
+    (B.tidy, "7 Castle Terrace and", "7 Castle Terrace"),
+    (B.tidy, "Gatehouse, Priory Walk", "Gatehouse, Priory Walk"),
+    (K.street_name, "41 Larch Crescent, Derby", "Larch Crescent"),
+    (K.street_name, "9, Tannery Road, Hull", "Tannery Road"),
+    (K.street_name, "3 (Both halves) Barley Road", "Barley Road"),
+    (K.street_name, "Heron Lodge, Marsh Lane", None),
+    (K.street_name, "77 Quarry Road Quarry Road and pump house Quarry Road", "Quarry Road"),
+    (K.buried_street, "Meadow beside Tinker Lane, south of Pear Street", "Pear Street"),
+    (K.building_name, "Flat 9, 22 Orchard Road", None),
+    (K.flat_base, "Flat 12, Mariner Court,  8 Wharf Road", "MARINER COURT, 8 WHARF ROAD"),
+    (K.flat_base, "6 Weir Fold, Settle", None),
 ]
 
 
@@ -50,43 +50,43 @@ def test_text(spark, function, text, want):
 
 
 def test_keys(spark):
-    assert run(spark, K.match_key, ("34 Autumn Terrace, Leeds", "LS6 1RN"), ("34 Autumn Terrace", None), ("Ivy", "LS6 1RN")) == ["LS61RN|34", None, None]
-    assert run(spark, K.building_key, ("Ivy Cottage, Ackton Lane, Pontefract", "WF7 6HP"), ("Flat 3, 10 High Street", "LS1 1AA"), ("10 High Street", "LS1 1AA")) == ["WF76HP|IVY COTTAGE", None, None]
-    assert run(spark, K.street_number_key, ("23", "Fir Tree Gardens", "Leeds"), ("1", None, "x")) == ["LEEDS|FIR TREE GARDENS|23", None]
-    assert run(spark, lambda c: K.osm_tag(c, "addr:street"), '"a"=>"b","addr:street"=>"Ridge Way"', '"a"=>"b"', None) == ["Ridge Way", None, None]
-    assert run(spark, K.is_substation, "The Sub-Station, Field Lane", "12 High Street, Leeds", None) == [True, False, False]
-    assert run(spark, K.is_valid_postcode, " LS6 1RN ", "LS6 1RN x", "", None) == [True, False, False, False]
+    assert run(spark, K.match_key, ("52 Rowan Close, Derby", "DE1 9ZZ"), ("52 Rowan Close", None), ("Heron", "DE1 9ZZ")) == ["DE19ZZ|52", None, None]
+    assert run(spark, K.building_key, ("Heron Lodge, Marsh Lane, Ely", "CB7 0QQ"), ("Flat 9, 22 Orchard Road", "CB7 1QQ"), ("22 Orchard Road", "CB7 1QQ")) == ["CB70QQ|HERON LODGE", None, None]
+    assert run(spark, K.street_number_key, ("41", "Larch Crescent", "Derby"), ("1", None, "x")) == ["DERBY|LARCH CRESCENT|41", None]
+    assert run(spark, lambda c: K.osm_tag(c, "addr:street"), '"k"=>"v","addr:street"=>"Fen Causeway"', '"k"=>"v"', None) == ["Fen Causeway", None, None]
+    assert run(spark, K.is_substation, "Old Sub Station, Wharf Road", "9 Tannery Road, Hull", None) == [True, False, False]
+    assert run(spark, K.is_valid_postcode, " DE1 9ZZ ", "DE1 9ZZ x", "", None) == [True, False, False, False]
 
 
 def test_boilerplate_tags(spark):
     clean = lambda f, t: run(spark, f, t, None)[0]
-    out = clean(B.clean_mines, "all mines and minerals as excepted filed at the Registry 12 High Street, Leeds")
-    assert "@MNS" in out and "12 High Street, Leeds" in out
-    two = "The mines filed at the Registry being 17B Curzon Street, London the minerals deed dated 1"
-    assert "17B Curzon Street" in clean(B.clean_mines, two)
-    assert "@ASP" in clean(B.clean_airspace, "The airspace above 12 High Street, London")
-    assert "@FTS" in clean(B.clean_flats, "the eighth floor being 55 Broadway, London")
-    assert "@ASP" in clean(B.clean_roof_basement, "the south-facing roof, 55 Prospect Terrace")
-    assert clean(B.clean_roof_basement, "Roof Gardens, 4 High Street") == "Roof Gardens, 4 High Street"
-    assert clean(B.clean_spelling, "Sub Station, Field Lane") == "substation, Field Lane"
+    out = clean(B.clean_mines, "all mines and minerals as excepted filed at the Registry 18 Tannery Road, Hull")
+    assert "@MNS" in out and "18 Tannery Road, Hull" in out
+    two = "The mines filed at the Registry being 6A Wharf Road, Goole the minerals deed dated 1"
+    assert "6A Wharf Road" in clean(B.clean_mines, two)
+    assert "@ASP" in clean(B.clean_airspace, "The airspace above 30 Quay Road, Bude")
+    assert "@FTS" in clean(B.clean_flats, "the fifth floor being 61 Parade, Truro")
+    assert "@ASP" in clean(B.clean_roof_basement, "the north-facing roof, 2 Castle Terrace")
+    assert clean(B.clean_roof_basement, "Roof Gardens, 15 Quay Road") == "Roof Gardens, 15 Quay Road"
+    assert clean(B.clean_spelling, "Sub Station, Wharf Road") == "substation, Wharf Road"
     assert clean(B.clean_boilerplate, "x") == "x"
 
 
 def test_geocodability(spark):
     long = "the rights of the easement in and over and under all of the land and of the buildings and to the use of it as is on the filed plan"
-    rows = [("@MNS", None), ("Properties at 1 Foo Road", None), ("16", None), ("16", "LS1 1AA"), ("12 High Street, Leeds", None), (long, None), ("", None), (None, None), ("abc", None)]
+    rows = [("@MNS", None), ("Properties at 8 Larch Crescent", None), ("44", None), ("44", "DE1 9ZZ"), ("9 Tannery Road, Hull", None), (long, None), ("", None), (None, None), ("abc", None)]
     assert run(spark, K.geocodability, *rows) == ["residual_tag", "multi_property_list", "bare_number_no_postcode", "ok", "ok", "legalese", "empty", "empty", "too_short"]
 
 
 NUMBERS = {
-    "10 to 14 (even) Example Street": ["10 Example Street", "12 Example Street", "14 Example Street"],
-    "31 to 35 (Odd) Foo Street": ["31 Foo Street", "33 Foo Street", "35 Foo Street"],
-    "L3-03629, Trinity A Halls Of Residence, Laisteridge Lane, Bradford": ["L3-03629, Trinity A Halls Of Residence, Laisteridge Lane, Bradford"],
-    "1-5000 Example Street": ["1-5000 Example Street"],
-    "103a and 103b Archel Road, London": ["103a Archel Road, London", "103b Archel Road, London"],
-    "1, 3 and 5 Foo Lane and 7 Bar Road": ["1 Foo Lane", "3 Foo Lane", "5 Foo Lane", "7 Bar Road"],
-    "Unit 4, 5 High Street": ["Unit 4, 5 High Street"],
-    "12 High Street": ["12 High Street"],
+    "20 to 26 (even) Larch Crescent": ["20 Larch Crescent", "22 Larch Crescent", "24 Larch Crescent", "26 Larch Crescent"],
+    "7 to 11 (Odd) Quay Road": ["7 Quay Road", "9 Quay Road", "11 Quay Road"],
+    "B2-00417, Heron B Block, Marsh Lane, Ely": ["B2-00417, Heron B Block, Marsh Lane, Ely"],
+    "3-9000 Wharf Road": ["3-9000 Wharf Road"],
+    "58a and 58b Barley Road, Goole": ["58a Barley Road, Goole", "58b Barley Road, Goole"],
+    "2, 4 and 8 Weir Fold and 13 Kiln Hill": ["2 Weir Fold", "4 Weir Fold", "8 Weir Fold", "13 Kiln Hill"],
+    "Unit 6, 31 Tannery Road": ["Unit 6, 31 Tannery Road"],
+    "9 Castle Terrace": ["9 Castle Terrace"],
 }
 
 
@@ -96,9 +96,9 @@ def test_split_numbers(text, want):
 
 
 def test_expand_numbers():
-    assert numbers.expand_numbers([("8", False, False, ""), ("12", True, True, "(EVN)")]) == ["8", "10", "12"]
-    assert numbers.expand_numbers([("1", False, False, ""), ("5000", True, False, "")]) is None
-    assert numbers.expand_numbers([("10", False, False, ""), ("13", True, True, "(EVN)")]) == ["10", "13"]
+    assert numbers.expand_numbers([("20", False, False, ""), ("26", True, True, "(EVN)")]) == ["20", "22", "24", "26"]
+    assert numbers.expand_numbers([("3", False, False, ""), ("9000", True, False, "")]) is None
+    assert numbers.expand_numbers([("40", False, False, ""), ("43", True, True, "(EVN)")]) == ["40", "43"]
 
 
 @settings(max_examples=200, deadline=None)
@@ -110,18 +110,17 @@ def test_split_numbers_never_raises(text):
 
 def test_phrases(spark):
     clean = phrases.phrase_cleaner([("being part of", None), ("part of", "x"), ("east of", "f"), (None, None)])
-    texts = ["BEING PART OF 12 High Street dated 3 May 1990", "east of Foo", None, "land £1,200 numbered 5 on the filed plan"]
-    assert run(spark, clean, *texts) == ["12 High Street", "east of Foo", None, "land"]
-    assert run(spark, phrases.matching_phrases(["high", "high street", "leeds"]), "12 high street", "x", None) == ["high street", None, None]
+    texts = ["BEING PART OF 9 Quay Road dated 6 June 1988", "east of Bude", None, "land £3,400 numbered 2 on the filed plan"]
+    assert run(spark, clean, *texts) == ["9 Quay Road", "east of Bude", None, "land"]
+    assert run(spark, phrases.matching_phrases(["quay", "quay road", "bude"]), "9 quay road", "x", None) == ["quay road", None, None]
 
 
 def test_jaro_equals_the_database(spark):
     rng = random.Random(1)
     pairs = [("".join(rng.choice("ABCDE ") for _ in range(rng.randrange(1, 12))), "".join(rng.choice("ABCDE ") for _ in range(rng.randrange(1, 12)))) for _ in range(400)]
     db = duckdb.connect()
-    for a, b in pairs + [("HIGH STREET", "HIGH ST")]:
+    for a, b in pairs + [("QUAY ROAD", "QUAY RD")]:
         assert jaro(a, b) == pytest.approx(db.execute("SELECT jaro_similarity(?, ?)", [a, b]).fetchall()[0][0], abs=1e-9)
-        assert jaro(a, b) == pytest.approx(jaro(b, a)) or True
         assert 0 <= jaro(a, b) <= 1
 
 
@@ -137,10 +136,10 @@ def test_coordinates():
 
 
 def test_geocoder_answers(spark):
-    answer = '{"batchItems":[{"features":[{"properties":{"type":"Address","confidence":"High","matchCodes":["Good","Up"],"address":{"addressLine":"1 Foo","adminDistricts":[{"shortName":"ENG"},{"name":"Leeds"}]}},"geometry":{"coordinates":[-1.5,53.8]}}]},{"error":{"code":"x"}},{"features":[]}]}'
+    answer = '{"batchItems":[{"features":[{"properties":{"type":"Address","confidence":"High","matchCodes":["Good","Up"],"address":{"addressLine":"9 Quay Road","adminDistricts":[{"shortName":"ENG"},{"name":"Bude"}]}},"geometry":{"coordinates":[-4.5,50.8]}}]},{"error":{"code":"x"}},{"features":[]}]}'
     found = run(spark, geocoder.parse_answer, answer)[0]
     assert found[1] is None and found[2] is None
-    assert (found[0]["latitude"], found[0]["longitude"], found[0]["adminDistrict"], found[0]["adminDistrict2"], found[0]["matchCodes"]) == (53.8, -1.5, "ENG", "Leeds", "Good,Up")
-    assert run(spark, lambda a: geocoder.batch_item(a, F.lit(None).cast("string"), F.lit("")), "1 Foo Street")[0] == '{"addressLine":"1 Foo Street","countryRegion":"GB"}'
+    assert (found[0]["latitude"], found[0]["longitude"], found[0]["adminDistrict"], found[0]["adminDistrict2"], found[0]["matchCodes"]) == (50.8, -4.5, "ENG", "Bude", "Good,Up")
+    assert run(spark, lambda a: geocoder.batch_item(a, F.lit(None).cast("string"), F.lit("")), "9 Quay Road")[0] == '{"addressLine":"9 Quay Road","countryRegion":"GB"}'
     url = spark.range(1).select(geocoder.build_url("http://x/y", {"q": "a b", "n": None, "k": 3}).alias("u")).first()["u"]
     assert url == "http://x/y?q=a+b&k=3"
