@@ -15,18 +15,22 @@ import os
 import struct
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .encoding import strings
+
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 THREADS = 2
+#: The longest piece that is remembered.
+LONG = 128
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -160,28 +164,40 @@ class Bridge:
         self.threads, self.generation = threads, generation
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        #: Pieces whose ids are not sentencepiece's, and pieces that decoding does not give back.
         self.odd: set[str] = set()
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.lost: set[str] = set()
+
+    def _checked(self, block: list[str]) -> list[bytes]:
+        """Ids of the pieces; each is held against sentencepiece's own ids, and decoded again."""
+        found = self.tokenizer.encode_batch_fast(block, add_special_tokens=False)
+        ids = [e.ids for e in found]
+        if self.origin:
+            self.odd.update(p for p, a, b in zip(block, ids, self.origin.encode(block, num_threads=self.threads)) if a != b)
+        squeeze = (lambda t: " ".join(x for x in t.split(" ") if x)) if self.spec.squeeze else (lambda t: t)
+        self.lost.update(p for p, d in zip(block, self.decode(ids)) if squeeze(p) != d)
+        return [array("I", x).tobytes() for x in ids]
 
     def _learn(self, wanted: set[str]) -> None:
         if len(self.young) > self.generation:
             self.old, self.young = self.young, {}
+            self.odd = {p for p in self.odd if p in self.old}
+            self.lost = {p for p in self.lost if p in self.old}
         new = wanted - self.young.keys()
         again = new & self.old.keys()
         self.young.update((p, self.old[p]) for p in again)
         names = list(new - again)
         for at in range(0, len(names), 8192):
             block = names[at : at + 8192]
-            found = self.whole(block)
-            if self.origin:
-                theirs = self.origin.encode(block, num_threads=self.threads)
-                self.odd.update(p for p, a, b in zip(block, found, theirs) if a != array("I", b).tobytes())
-            self.young.update(zip(block, found))
-
-    def encode(self, texts: list[str | None], block_chars: int = 4_000_000) -> Iterator[tuple[bytes, bool]]:
-        """For each text (None counts as empty) its ids as uint32 bytes, and whether they are sentencepiece's."""
+            self.young.update(zip(block, self._checked(block)))
+
+    def encode(self, texts: Iterable[str | None], block_chars: int = 2_000_000) -> Iterator[tuple[bytes, bool, bool]]:
+        """For each text (None counts as empty) its ids as uint32 bytes, whether they are sentencepiece's, and whether
+        decoding them gives the text back (up to the white space that the model's normaliser drops).
+
+        A text whose pieces between single spaces stand alone is judged by its pieces: the ids, and what
+        they decode to, are those of the pieces one after another.
+        """
         block, chars = [], 0
         for text in texts:
             block.append(text or "")
@@ -191,12 +207,20 @@ class Bridge:
                 block, chars = [], 0
         yield from self._block(block)
 
-    def _block(self, texts: list[str]) -> list[tuple[bytes, bool]]:
+    def _block(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
         safe = [self.parts and t[:1] != " " and t[-1:] != " " and "  " not in t and MARK not in t for t in texts]
-        parts = [t.split(" ") if s else [t] for t, s in zip(texts, safe)]
-        self._learn(set().union(*parts))
-        at, odd = self.young.__getitem__, self.odd
-        return [(b"".join(map(at, p)), not odd or odd.isdisjoint(p)) for p in parts]
+        parts = [t.split(" ") if s else None for t, s in zip(texts, safe)]
+        parts = [p if p and max(map(len, p)) <= LONG else None for p in parts]
+        self._learn(set().union(*(p for p in parts if p)))
+        at, out = self.young.__getitem__, []
+        for text, p in zip(texts, parts):
+            raw = b"".join(map(at, p)) if p else self._checked([text])[0]
+            held = p or [text]
+            out.append((raw, not self.odd or self.odd.isdisjoint(held), not self.lost or self.lost.isdisjoint(held)))
+            if not p:  # whole texts are not remembered
+                self.odd.discard(text)
+                self.lost.discard(text)
+        return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
@@ -217,24 +241,19 @@ def encode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     ids (uint32 bytes) if asked for.
 
     A null text is empty and has no ids.  Nothing is shuffled; rows of any number and order are
-    encoded on their own.
+    encoded on their own, other columns are ignored, and an empty table gives no rows.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("parity", pa.bool_()), ("round_trip", pa.bool_())]
+    schema = pa.schema(kinds + [("ids", pa.binary())] * with_ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = bridge(path)
         for batch in batches:
-            out = []
-            texts = batch["text"].tolist()
-            for text, (raw, same) in zip(texts, b.encode(texts)):
-                out.append([len(raw) // 4, zlib.crc32(raw), same, raw])
-            got = pd.DataFrame(out, columns=["n_tokens", "ids_crc32", "parity", "ids"])
-            plain: list[str] = []
-            for at in range(0, len(out), 512):
-                plain += b.decode([np.frombuffer(x[3], "<u4").tolist() for x in out[at : at + 512]])
-            squeeze = (lambda t: " ".join(x for x in t.split(" ") if x)) if b.spec.squeeze else (lambda t: t)
-            got["round_trip"] = [squeeze(t or "") == d for t, d in zip(texts, plain)]
-            got.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
-            yield got if with_ids else got.drop(columns="ids")
-
-    schema = "doc_id long, n_tokens long, ids_crc32 long, parity boolean, round_trip boolean" + ", ids binary" * with_ids
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInPandas(run, schema)
+            out = [(len(raw) // 4, zlib.crc32(raw), same, back, raw) for raw, same, back in b.encode(strings(batch.column("text")))]
+            columns = [batch.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(zip(*out), list(schema)[1:]))]
+            if out:
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    names = "doc_id long, n_tokens long, ids_crc32 long, parity boolean, round_trip boolean" + ", ids binary" * with_ids
+    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, names)
