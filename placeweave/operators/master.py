@@ -140,13 +140,3 @@ def grade_result(entity: Column, confidence: Column, same_authority: Column) ->
         F.when(same_authority.isNull(), "nola").when(~same_authority, "wrongla")
         .when(precise & (confidence == "High"), "good").when(confidence.isin("High", "Medium"), "medium").otherwise("low")
     )
-
-
-def canonical_district(name: Column, mapping: dict[str, str] | None = None) -> Column:
-    """A district's name without the words of its kind, by a small literal mapping where names differ."""
-    out = F.trim(F.regexp_replace(name, r"(?i)\b(city of|the city of|london borough of|royal borough of|borough of|county of|district|borough|london boro|\(b\)|unitary authority)\b|\([^)]*\)", ""))
-    out = F.upper(F.regexp_replace(out, r"\s+", " "))
-    if mapping:
-        table = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-        out = F.coalesce(F.try_element_at(table, out), out)
-    return out

@@ -112,6 +112,16 @@ VIEWS: dict[str, str] = {
     "substations": f"""
       SELECT c_custkey AS UPRN, {_LAT} AS LATITUDE, {_LON} AS LONGITUDE FROM customer WHERE c_custkey % 67 = 3""",
     "usrn_streets": f"SELECT c_custkey % 11 + 11 * (c_nationkey % 5) AS USRN, max(CASE WHEN c_custkey % 11 = 3 THEN 'substation' ELSE {street('c_custkey')} END) AS street FROM customer GROUP BY c_custkey % 11 + 11 * (c_nationkey % 5)",
+    "road_classes": f"SELECT p_partkey AS id, {pick('Motorway|A Road|Guided Busway Carriageway|Local Road|Motorway, Collapsed Dual Carriageway||Shared Use Carriageway', 'p_partkey')} AS classification FROM part",
+    "district_names": f"""
+      SELECT n_nationkey AS id, {pick('Caerdydd - Cardiff|St. Helens|City of Leicester|Kettering|Northampton|Powys - Powys|Corby', 'n_nationkey')}
+        || {pick('| (B)| District|', 'n_nationkey')} AS name FROM nation""",
+    "unit_rows": f"""
+      SELECT s_suppkey AS id, CASE WHEN s_suppkey % 5 <> 0 THEN CAST(s_suppkey % 9 AS STRING) END AS unit_id, {pick('flat|office|suite|unit', 's_suppkey')} AS unit_type,
+        CASE WHEN s_suppkey % 3 = 0 THEN 'Quay House' END AS building_name, {number('s_suppkey')} AS street_number, {street('s_suppkey')} AS street_name FROM supplier""",
+    "compass": """
+      SELECT o_orderkey AS id, CASE CAST(o_orderkey % 6 AS INT) WHEN 0 THEN 'Land on the Northern side of' WHEN 1 THEN 'land adjoing the south-east corner of'
+        WHEN 2 THEN 'the WESTERLY part, ajoining' WHEN 3 THEN 'south west of' WHEN 4 THEN 'northly and eastern of' ELSE 'at' END || ' ' || CAST(o_orderkey % 30 AS STRING) AS text FROM orders""",
     "lad_names": "SELECT 'E0' || CAST(n_nationkey AS STRING) AS lad_code, n_name AS lad_name FROM nation",
     "releases": f"""
       SELECT l_partkey AS UPRN, CAST(date_trunc('month', l_shipdate) AS DATE) AS date, CAST(max(l_quantity) AS DOUBLE) AS X_COORDINATE, CAST(min(l_quantity) AS DOUBLE) AS Y_COORDINATE,

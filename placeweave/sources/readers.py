@@ -172,3 +172,44 @@ def place_names(df: DataFrame, kinds: list[str], column: str = "place") -> DataF
 def work_list(todo: DataFrame, done: DataFrame, n: int = 1) -> DataFrame:
     """The first names of what is not done yet (name)."""
     return todo.select("name").distinct().join(done.select("name").distinct(), "name", "left_anti").orderBy("name").limit(n)
+
+
+def street_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Street centre lines as Parquet (usrn, points): USRN and its straight pieces; heights are dropped."""
+    from ..operators.regions import line_segments
+
+    return line_segments(spark.read.parquet(path).select(F.col("usrn").try_cast("long").alias("USRN"), "points").filter("USRN is not null"), "USRN")
+
+
+def open_map_roads(spark: SparkSession, path: str) -> DataFrame:
+    """Roads of the open map: five columns of the table, pieces of lines without heights."""
+    from ..operators.regions import line_segments
+
+    roads = spark.read.parquet(path).select("id", "classification", "distinctive_name", "road_number", "points")
+    return line_segments(roads, "id").join(roads.drop("points"), "id")
+
+
+def past_results(spark: SparkSession, root: str) -> DataFrame:
+    """The usable grades of an earlier round's results; the failed and wrong ones are not read."""
+    from ..operators import regions
+
+    return regions.past_results(spark.read.parquet(f"{root.rstrip('/')}/bing_geocoded_{{good,medium,low}}*"))
+
+
+def vintages(spark: SparkSession, paths: dict[int, str], *properties: str) -> DataFrame:
+    """Boundaries of several years under one schema, with their year; nothing is read before it is needed."""
+    from ..operators.relational import union_all
+
+    return union_all(*[boundaries(spark, path, *properties).withColumn("year", F.lit(year)) for year, path in paths.items()])
+
+
+def parcels_xml(spark: SparkSession, path: str, row: str = "PREDEFINED") -> DataFrame:
+    """Parcels of authorities' GML files: la (the file's name), INSPIREID, edges; the reader is Spark's own."""
+    from ..functions.geo import edges
+
+    schema = "INSPIREID long, GEOMETRY struct<Polygon:struct<exterior:struct<LinearRing:struct<posList:string>>>>"
+    df = spark.read.format("xml").option("rowTag", row).option("ignoreNamespace", "true").schema(schema).load(path)
+    numbers = F.transform(F.split(F.trim("GEOMETRY.Polygon.exterior.LinearRing.posList"), r"\s+"), lambda x: x.try_cast("double"))
+    ring = F.transform(F.sequence(F.lit(0), F.floor(F.size("n") / 2).cast("int") - 1), lambda i: F.struct(F.get("n", 2 * i).alias("x"), F.get("n", 2 * i + 1).alias("y")))
+    rows = df.filter("INSPIREID is not null and GEOMETRY is not null").withColumn("n", numbers).filter("size(n) >= 6")
+    return rows.select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.gml", 1).alias("la"), "INSPIREID", edges(ring).alias("edges")).dropDuplicates(["la", "INSPIREID"])
