@@ -122,23 +122,35 @@ def _template_values() -> str:
     return ", ".join(rows)
 
 
+def _anchor_values() -> str:
+    return ", ".join(f"('{name}', '{pair}', {before}, {n})" for name, pair, before, n in license_scan.anchors(license_scan.TEMPLATES))
+
+
 OP6_SQL = f"""
 WITH templates(name, grams) AS (VALUES {_template_values()}),
+spots(name, pair, before, words) AS (VALUES {_anchor_values()}),
 c AS (SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '[^a-z0-9\n]+', ' ', 'g') AS t FROM documents),
-lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS s FROM c),
+lines AS (SELECT doc_id, generate_subscripts(l, 1) AS i, trim(unnest(l)) AS s FROM (SELECT doc_id, string_split(t, chr(10)) AS l FROM c)),
 paragraphs AS (SELECT doc_id, unnest(regexp_split_to_array(t, '\n *\n[ \n]*')) AS s FROM c),
 spans AS (SELECT doc_id, trim(regexp_replace(s, '[ \n]+', ' ', 'g')) AS s FROM
-          (SELECT * FROM lines UNION ALL
-           SELECT * FROM paragraphs WHERE instr(trim(replace(s, chr(10), '|')), '|') > 0)),
-w AS (SELECT row_number() OVER () AS span, doc_id, string_split(s, ' ') AS w FROM spans
+          (SELECT doc_id, s FROM lines UNION ALL
+           SELECT doc_id, s FROM paragraphs WHERE instr(trim(replace(s, chr(10), '|')), '|') > 0)),
+w AS (SELECT row_number() OVER () AS span, doc_id, s, string_split(s, ' ') AS w FROM spans
       WHERE length(s) - length(replace(s, ' ', '')) BETWEEN 1 AND 400),
-g AS (SELECT span, doc_id, len(w) - 1 AS n, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS g FROM w),
-m AS (SELECT span, doc_id, name, 2.0::DOUBLE * len(list_intersect(g, grams)) / (n + len(grams)) AS dice
+g AS (SELECT span, doc_id, s, len(w) - 1 AS n, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS g FROM w),
+m AS (SELECT span, doc_id, s, name, 2.0::DOUBLE * len(list_intersect(g, grams)) / (n + len(grams)) AS dice
       FROM g, templates WHERE n <= 1.5 * len(grams) + 1 AND len(grams) <= 1.5 * n + 1),
-best AS (SELECT span, doc_id, max(struct_pack(dice := dice, name := name)) AS b FROM m WHERE dice >= {license_scan.LEAST} GROUP BY ALL),
-d AS (SELECT doc_id, max(b) AS b, count(*) AS n FROM best GROUP BY doc_id)
-SELECT doc_id, b.name AS license, b.dice AS dice, coalesce(n, 0)::BIGINT AS n_notices
-FROM documents LEFT JOIN d USING (doc_id)
+best AS (SELECT span, doc_id, s, max(struct_pack(dice := dice, name := name)) AS b FROM m WHERE dice >= {license_scan.LEAST} GROUP BY ALL),
+d AS (SELECT doc_id, max(b) AS b, count(*) AS n FROM best GROUP BY doc_id),
+rest AS (SELECT doc_id, string_split(string_agg(s, ' ' ORDER BY i), ' ') AS w FROM lines WHERE s <> '' AND (doc_id, s) NOT IN (SELECT (doc_id, s) FROM best) GROUP BY doc_id),
+spot AS (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM rest),
+v AS (SELECT DISTINCT spot.doc_id, w[greatest(i - before, 1):greatest(i - before, 1) + words - 1] AS w FROM spot JOIN spots ON w[i] || ' ' || w[i + 1] = pair),
+vg AS (SELECT doc_id, len(w) - 1 AS n, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS g FROM v),
+vm AS (SELECT doc_id, max(struct_pack(dice := 2.0::DOUBLE * len(list_intersect(g, grams)) / (n + len(grams)), name := name)) AS b FROM vg, templates
+       WHERE n <= 1.5 * len(grams) + 1 AND len(grams) <= 1.5 * n + 1 GROUP BY doc_id),
+x AS (SELECT doc_id, b FROM vm WHERE b.dice >= {license_scan.LEAST})
+SELECT doc_id, greatest(d.b, x.b).name AS license, greatest(d.b, x.b).dice AS dice, (coalesce(n, 0) + (x.b IS NOT NULL)::INT)::BIGINT AS n_notices
+FROM documents LEFT JOIN d USING (doc_id) LEFT JOIN x USING (doc_id)
 """
 
 

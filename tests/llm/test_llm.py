@@ -246,6 +246,21 @@ def test_license_scan(spark):
     got = license_scan.scan(docs_of(spark, list(enumerate(texts))).withColumn("dice", F.lit("clash"))).orderBy("doc_id").collect()
     assert [r["license"] for r in got] == [None, None, "MIT", "MIT", "all-rights-reserved", None, "GPL-3.0", None, "MIT-text"]
     assert got[2]["dice"] == 1.0 and got[0]["n_notices"] == 0
+    inside = [
+        "(c) 2021 Foo Ltd. All rights reserved. Ask us before you copy any part of it",
+        "Foo is licensed under the Apache License, Version 2.0 and may be used by anyone who likes to",
+        "a header of this file that goes on for long and is\nreleased under the\nMIT License. and says some more after that for long",
+        "All rights reserved.\nBar is released under the MIT License. and this line goes on and on",
+        "the rights were reserved and the license of the MIT was released by someone under the sky",
+        "two two\nAll rights reserved.\nAll rights reserved.",
+    ]
+    docs = docs_of(spark, list(enumerate(inside)) + [(0, inside[0])])
+    got = license_scan.scan(docs).orderBy("doc_id").collect()
+    assert [(r["license"], r["n_notices"]) for r in got] == [
+        ("all-rights-reserved", 1), ("all-rights-reserved", 1), ("Apache-2.0", 1), ("MIT", 1), ("all-rights-reserved", 2), (None, 0), ("all-rights-reserved", 2)]
+    assert license_scan.scan(docs.limit(0)).count() == 0
+    tie = license_scan.scan(docs_of(spark, [(1, "one two three")]), templates={"b": "one two three", "a": "One, two, three"}).first()
+    assert tie["license"] == "b" and tie["n_notices"] == 1
 
 
 # -- 7 SentencePiece
