@@ -115,7 +115,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic), without the held-out rows.
 
     Labels other than 0 and 1 and labels without a document count for nothing; an identifier with
-    both labels counts as toxic.  A null text has no terms.
+    both labels counts as toxic.  A null text has no terms.  Every row of an identifier that ``docs`` repeats
+    is learnt from, up to ``MAX_TOXIC + MAX_CLEAN`` rows in all, toxic ones first.
     """
     known = labels.filter("toxic in (0, 1) and doc_id is not null").filter(~held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -133,7 +134,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                 found.append(np.array(sorted(buckets), dtype="<u4").tobytes())
             yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": found})
 
-    got = rows.mapInPandas(extract, "doc_id long, toxic int, terms binary").collect()
+    # Identifiers that documents repeat give more rows; no more than the sample's bound are collected.
+    found = rows.mapInPandas(extract, "doc_id long, toxic int, terms binary")
+    got = found.orderBy(F.col("toxic").desc(), *order, F.xxhash64("terms")).limit(MAX_TOXIC + MAX_CLEAN).collect()
     got = sorted(got, key=lambda r: (r["doc_id"], bytes(r["terms"])))
     total = sum(counts.values())
     return fit([np.frombuffer(r["terms"], "<u4").astype("int64") for r in got], np.array([r["toxic"] for r in got], "int64"),
@@ -165,7 +168,8 @@ def scorer(model: Model):
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with held_out, score and predicted (1 from ``CUT``); columns of these names are replaced.
 
-    Each row is scored by its text alone.  An empty table gives no rows.
+    Each row is scored by its whole text alone; null texts count as empty.  Other columns stay, rows that repeat an
+    identifier are scored each, and an empty table gives no rows.
     """
     score = scorer(train(docs, labels))
     rows = docs.drop("held_out", "score", "predicted").withColumns({"held_out": held_out(), "score": score(F.col("text"))})

@@ -363,6 +363,37 @@ def test_toxicity(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in got.values())
     none = toxicity.judge(docs, frame.limit(0)).collect()
     assert len({r["score"] for r in none}) == 1
+    assert toxicity.judge(docs.limit(0), frame).count() == 0
+
+
+def test_toxicity_scores_equal_the_pairwise_sum(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(i, " ".join(rng.choice(["insult", "people", "garden", "river", "stone", "bread"]) + rng.choice(["", "s", "like"]) for _ in range(rng.randrange(1, 9)))) for i in range(400)]
+    rows += [(7, "insult people"), (7, "river"), (None, "insult people"), (500, "river stone " * 40000), (501, None)]
+    labels = spark.createDataFrame([(i, int("insult" in t and "people" in t)) for i, t in rows[:400]], "doc_id long, toxic int")
+    docs = docs_of(spark, rows)
+    model = toxicity.train(docs, labels)
+    place = {int(b): k for k, b in enumerate(model.buckets)}
+    assert place
+
+    def brute(text):
+        found = sorted({place[b] for w in re.findall(r"[^\W\d_]+", (text or "").lower()) for b in toxicity.terms(w) if b in place})
+        z = model.bias + sum(model.weights[f] for f in found)
+        z += sum(float(model.vectors[f] @ model.vectors[g]) for k, f in enumerate(found) for g in found[k + 1 :])
+        return 1 / (1 + np.exp(-min(30, max(-30, z))))
+
+    got = toxicity.judge(docs, labels).select("text", "score").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["score"] == pytest.approx(brute(r["text"]), abs=1e-9)
+    # No more rows than the bound are learnt from, however often documents repeat an identifier.
+    seen = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "MAX_TOXIC", 20)
+    monkeypatch.setattr(toxicity, "MAX_CLEAN", 30)
+    monkeypatch.setattr(toxicity, "fit", lambda found, *a: seen.append(len(found)) or fit(found, *a))
+    toxicity.train(docs.unionByName(docs).unionByName(docs), labels)
+    assert seen == [50]
 
 
 # -- 10 n-gram join
