@@ -180,8 +180,8 @@ def judge(
     """The columns ``carry`` of ``docs`` (all if None) with the counts, base_failed and kept.
 
     Cutoffs come from ``labels`` (doc_id, quality).  Labels without quality or document count for
-    nothing; an identifier labelled good and bad counts as good.  Without usable labels only the
-    base rules reject.  An empty table gives no rows.  The measures are taken once and written to
+    nothing; an identifier labelled good and bad counts as good, and equal texts count once.  Without usable labels only the
+    base rules reject.  Rows that repeat an identifier are judged each.  An empty table gives no rows.  The measures are taken once and written to
     the shared folder, as both the choice of cutoffs and the verdict read them.
     """
     carry = docs.columns if carry is None else carry
@@ -190,10 +190,12 @@ def judge(
     found = measured(docs).withColumnRenamed(stratum, "__stratum")
     own = [F.col("__stratum" if c == stratum else c).alias(c) for c in carry]
     rows = written(
-        found.select(*own, F.col("doc_id").alias("__id"), "__stratum", *COUNTS, *[f"m_{m}" for m in MEASURES]), "quality"
+        found.select(*own, F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__vote"), "__stratum", *COUNTS, *[f"m_{m}" for m in MEASURES]), "quality"
     )
     label = labels.groupBy(F.col("doc_id").alias("__id")).agg(F.max("quality").alias("__quality"))
     known = rows.join(label.filter("__quality in (0, 1)"), "__id")
-    own, chosen = cutoffs(known.withColumn("quality", F.col("__quality")), "__stratum", risk, delta, "__id")
+    # Copies of a text are no independent witnesses: equal texts of a stratum have one vote, good if any is.
+    votes = known.groupBy("__vote", "__stratum", "base_failed", *[f"m_{m}" for m in MEASURES]).agg(F.max("__quality").alias("quality"))
+    own, chosen = cutoffs(votes, "__stratum", risk, delta, "__vote")
     kept = ~F.col("base_failed") & verdict(own, chosen, "__stratum")
     return rows.select(*carry, *COUNTS, kept.alias("kept"))

@@ -19,6 +19,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its place, number and crc of ids, read back from the shards that were written."""
     path = shared_dir(spark, "sstable")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     sstable.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -26,6 +27,7 @@ def op1_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its group of equal texts; the largest identifier stays."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = exact_dedup.deduplicate(docs, keep="max")
     return found.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), "kept", "text_sha256")
@@ -40,6 +42,7 @@ SELECT doc_id, keep_id, group_size, k = 1 AS kept, text_sha256 FROM r
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per piece of a document its place in the windows."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
@@ -85,6 +88,7 @@ SELECT pair_id, n_prefix, length(prompt) AS prompt_chars, length(chosen) AS chos
 
 
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page the host and path of its url, the listed rule that fits best, and the verdict."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return url_rules.judge(pages, url_rules.LISTED + url_rules.PATTERNS).select("page_id", "host", "path", "rule", "verdict")
 
@@ -110,6 +114,7 @@ SELECT page_id, host, path, rule, coalesce(a, b, 'allow') AS verdict FROM v
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the licence notice that fits best."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return license_scan.scan(docs).select("doc_id", "license", "dice", "n_notices")
 
@@ -155,21 +160,25 @@ FROM documents LEFT JOIN d USING (doc_id) LEFT JOIN x USING (doc_id)
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document number and crc of its ids, and whether they are sentencepiece's and decode to the text."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentencepiece_bridge.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the base counts and the verdict of base rules and learnt cutoffs."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality_rules.judge(docs, _table(spark, sf_dir, "labels"), carry=["doc_id"])
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the score of a model that has not seen the held-out rows."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.judge(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the size of its set and the smallest identifier that links reach."""
     return ngram_join.join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 

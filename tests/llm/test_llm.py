@@ -338,6 +338,10 @@ def test_small_strata_get_cutoffs(spark):
     got = {r["doc_id"]: r["kept"] for r in quality_rules.judge(docs, labels, carry=["doc_id"]).collect()}
     assert not any(got[10000 + i] for i in range(150))
     assert all(got[i] for i, _, _, q in rows if q == 1)
+    # A thousand copies of one good text are one vote: too little to set any cutoff.
+    copies = spark.createDataFrame([(i, "a b c d e f g h i j k", "de", "s", 21) for i in range(1000)] + [(2000 + i, text("$$$"), "de", "s", 9) for i in range(50)], DOC)
+    votes = spark.createDataFrame([(i, 1) for i in range(1000)] + [(2000 + i, 0) for i in range(50)], "doc_id long, quality int")
+    assert all(r["kept"] != r["base_failed"] for r in quality_rules.judge(copies, votes).collect())
 
 
 # -- 9 toxicity
