@@ -20,24 +20,28 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model of ``labels`` scores under its cut; null texts count as empty, an empty table gives no rows."""
     return toxicity.judge(docs, _labels(spark, sf_dir)).filter("predicted = 0").select(*docs.columns)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the cutoffs learnt from ``labels``; null and short texts do not."""
     return quality_rules.judge(docs, _labels(spark, sf_dir)).filter("kept").select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts, that with the smallest identifier."""
     return exact_dedup.deduplicate(docs).filter("kept").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest identifier of each group of linked documents stays."""
+    """The document with the smallest identifier of each group of linked documents stays; rows without identifier stay."""
     found = ngram_join.join(docs).filter("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in windows of 2048 ids; a null text is its end id alone."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
