@@ -11,9 +11,10 @@ the rules found so run their regular expressions.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Up to so many rules the index is a literal in the plan, and nothing is shuffled.
@@ -76,6 +77,32 @@ PATTERNS = [
 ]
 
 
+#: The longest rule list that is read: rules pass through the driver.
+MOST_RULES = 1_000_000
+
+
+def parse_rules(lines: Iterable[str]) -> list[Rule]:
+    """Rules of a block list: ``!`` and ``[`` begin comments, ``@@`` exceptions, ``$`` options, which are left out; a
+    rule with an option that narrows it to a kind of page content is left out whole."""
+    out = []
+    for line in lines:
+        line = line.strip()
+        if not line or line[0] in "![" or "##" in line or "#@#" in line:
+            continue
+        pattern, _, options = line.removeprefix("@@").partition("$")
+        if pattern and not options:
+            out.append(Rule(pattern, "allow" if line.startswith("@@") else "block"))
+    return list(dict.fromkeys(out))
+
+
+def read_rules(spark: SparkSession, path: str) -> list[Rule]:
+    """The rules of a list that Spark reads as text; a list beyond ``MOST_RULES`` is refused, not cut."""
+    lines = spark.read.text(path).limit(MOST_RULES + 1).collect()
+    if len(lines) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules")
+    return parse_rules(r["value"] for r in lines)
+
+
 def host(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; else empty."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

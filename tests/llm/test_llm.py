@@ -232,6 +232,16 @@ def test_url_rules(spark, inline, monkeypatch):
         assert {r["verdict"] for r in url_rules.judge(pages, [url_rules.Rule("*net*", "block")]).collect()} == {"allow", "block"}
 
 
+def test_rule_lists(spark, tmp_path):
+    (tmp_path / "list.txt").write_text("! a comment\n[Adblock]\n||bad.example^\n@@||bad.example/good/\n/banner/*\nx.com##.ad\n||odd.example^$script\n\n||bad.example^\n")
+    rules = url_rules.read_rules(spark, f"file://{tmp_path}/list.txt")
+    assert [(r.pattern, r.action) for r in rules] == [("||bad.example^", "block"), ("||bad.example/good/", "allow"), ("/banner/*", "block")]
+    urls = ["http://a.bad.example/x", "http://bad.example/good/x", "http://ok.example/banner/1.png", "http://ok.example/" + "banner" * 20000, None, "http://notbad.example/"]
+    pages = spark.createDataFrame(list(enumerate(urls)) + [(0, urls[0])], "page_id long, url string")
+    got = url_rules.judge(pages, rules).orderBy("page_id").collect()
+    assert [r["verdict"] for r in got] == ["block", "block", "allow", "block", "allow", "allow", "allow"]
+
+
 def test_rule_tokens():
     assert url_rules.Rule("^casino-win^", "block").tokens == ["casino", "win"]
     assert url_rules.Rule("casino*win^", "block").tokens == []
