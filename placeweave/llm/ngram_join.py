@@ -41,8 +41,9 @@ WORDS, PERCENT = 5, 75
 #: Least and most counters of the rarity table, and bits of a table that says which sets are wanted: between them,
 #: so many for each document.
 COUNTERS, WANTED, EACH, BLOCKS = (1 << 21, 1 << 24), (1 << 24, 1 << 28), 64, 16
-#: Members of a list with which all its others are compared in a round; pairs for each member that need no further round.
-STARS, FEW = 3, 16
+#: Members of a list with which all its others are compared in a round; comparisons for each member, mere arithmetic, up to
+#: which no further round is worth its passes.
+STARS, FEW = 3, 1024
 #: Longs of a set's sketch, and shared prefix shingles by which a pair's first list is told.
 SKETCH, FIRST = 16, 16
 #: Bytes that part words; a random number for each byte, the same for A-Z as for a-z; an odd base and its inverse.
@@ -233,11 +234,8 @@ def texts_of(texts: DataFrame, ids: DataFrame, size: int = WANTED[0]) -> DataFra
     return texts.filter("id is not null").mapInArrow(some, "id long, text string")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``pairs`` (x, y) whose texts' sets reach the threshold."""
-    ids = pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id"))).distinct()
-    some = scratch.written(texts_of(texts, ids), "paired")
-
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}  # the joins leave pairs of one text side by side
 
@@ -253,13 +251,13 @@ def verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, n: int = WORD
             good = [similar(of(i, a.as_py()), of(j, b.as_py()), percent) for i, j, a, b in zip(x, y, batch.column("s"), batch.column("t"))]
             yield batch.select(["x", "y"]).filter(pa.array(good, pa.bool_()))
 
-    left = pairs.join(some.select(F.col("id").alias("x"), F.col("text").alias("s")), "x")
-    both = left.join(some.select(F.col("id").alias("y"), F.col("text").alias("t")), "y")
+    left = pairs.join(texts.select(F.col("id").alias("x"), F.col("text").alias("s")), "x")
+    both = left.join(texts.select(F.col("id").alias("y"), F.col("text").alias("t")), "y")
     return both.select("x", "y", "s", "t").mapInArrow(check, "x long, y long").distinct()
 
 
 def shared_postings(classes: DataFrame, tokens: DataFrame, size: int = WANTED[0]) -> DataFrame:
-    """(token, c, n, i) for the prefix shingles that are in ``tokens`` (token), and some others."""
+    """(token, c, n, i, sketch) for the prefix shingles that are in ``tokens`` (token), and some others."""
     bits = classes.sparkSession.sparkContext.broadcast(_wanted(tokens.select(F.col("token").alias("id")), size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,10 +267,11 @@ def shared_postings(classes: DataFrame, tokens: DataFrame, size: int = WANTED[0]
             token = pc.list_flatten(lists).to_numpy(zero_copy_only=False)
             i = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             keep = _marked(bits.value, token)
-            out = [token, *(np.repeat(batch.column(k).to_numpy(zero_copy_only=False), sizes) for k in ("c", "n")), i]
-            yield pa.RecordBatch.from_arrays([pa.array(v[keep], pa.int64()) for v in out], names=["token", "c", "n", "i"])
+            row = pa.array(np.repeat(np.arange(len(sizes)), sizes)[keep])
+            columns = [pa.array(token[keep], pa.int64()), batch.column("c").take(row), batch.column("n").take(row), pa.array(i[keep], pa.int64()), batch.column("sketch").take(row)]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "c", "n", "i", "sketch"])
 
-    return classes.select("c", "n", "prefix").mapInArrow(run, "token long, c long, n long, i long")
+    return classes.select("c", "n", "prefix", "sketch").mapInArrow(run, "token long, c long, n long, i long, sketch array<long>")
 
 
 def _near(percent: int) -> Column:
@@ -310,26 +309,25 @@ def _members(classes: DataFrame, scratch: Scratch, bits: int) -> DataFrame:
     members = shared_postings(classes, often, bits).join(often, "token", "left_semi")
     # Lists with the same members (the same count and hashes) give the same candidates: one of them stays.
     who = members.groupBy("token").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("c")).alias("who"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("too"))
-    lists = who.groupBy("k", "who", "too").agg(F.min("token").alias("token")).select("token")
-    per_class = members.groupBy("c").agg(F.count("*").alias("s"))
-    kept = scratch.written(members.join(lists, "token", "left_semi").join(per_class, "c"), "kept")
-    # A class has at most as many of them as its prefix is long.
-    firsts = kept.groupBy("c").agg(F.slice(F.sort_array(F.collect_list(F.struct("i", "token"))), 1, FIRST).alias("firsts"))
-    sketches = classes.select("c", *[F.col("sketch")[k].alias(f"k{k}") for k in range(SKETCH)])
-    earlier = F.filter("firsts", lambda x: x["i"] < F.col("i"))["token"].alias("earlier")
-    rows = kept.join(firsts, "c").join(sketches, "c")
-    return scratch.written(rows.select("token", "c", "n", "i", "s", *[f"k{k}" for k in range(SKETCH)], earlier), "members")
+    lists = who.groupBy("k", "who", "too").agg(F.min("token").alias("token")).select("token", F.lit(True).alias("stays"))
+    # All shared shingles of a class count, those of dropped lists too; it has at most as many as its prefix is long.
+    kept = members.join(lists, "token", "left").groupBy("c").agg(
+        F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.count("*").alias("s"),
+        F.sort_array(F.collect_list(F.when(F.col("stays"), F.struct("i", "token")))).alias("own"))
+    earlier = F.slice("own", F.lit(1), F.least(F.col("r"), F.lit(FIRST)))["token"].alias("earlier")
+    rows = kept.select("c", "n", "s", "sketch", "own", F.posexplode("own").alias("r", "p"))
+    return scratch.written(rows.select("p.token", "c", "n", "p.i", "s", *[F.col("sketch")[k].alias(f"k{k}") for k in range(SKETCH)], earlier), "members")
 
 
 def _open(members: DataFrame, tied: DataFrame | None) -> DataFrame:
-    """The members of the lists that hold more than one component, with component and the list's largest one."""
+    """The members of the lists that hold more than one component, with component, the list's largest one and its total."""
     component = F.col("c").alias("component")
     if tied is not None:
         members = members.join(tied.withColumnRenamed("component", "tied"), members["c"] == F.col("node"), "left").drop("node")
         component = F.coalesce("tied", "c").alias("component")
     joined = members.select("*", component).drop("tied")
     parts = joined.groupBy("token", "component").agg(F.count("*").alias("k"))
-    lists = parts.groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("largest"), F.count("*").alias("parts"))
+    lists = parts.groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("largest"), F.sum("k").alias("total"), F.count("*").alias("parts"))
     return joined.join(lists.filter("parts > 1").drop("parts"), "token")
 
 
@@ -364,12 +362,12 @@ def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PER
 
         # First each list's members against a few of them; again with others, while that finds links and leaves many.
         tried = scratch.written(_stars(members, members, percent, 0), "pairs")
-        links = scratch.written(verified(tried, texts, scratch, n, percent), "links")
+        links = scratch.written(verified(tried, texts, n, percent), "links")
         tied, salt, limit = _components(links, scratch), STARS, FEW * members.count()
         open_ = scratch.written(_open(members, tied), "open")
         while _gaps(open_) > limit:
             new = scratch.written(_stars(open_, open_.filter("component <> largest"), percent, salt).join(tried, ["x", "y"], "left_anti"), "pairs")
-            found = scratch.written(verified(new, texts, scratch, n, percent), "links")
+            found = scratch.written(verified(new, texts, n, percent), "links")
             tried, salt = tried.unionByName(new), salt + STARS
             if found.isEmpty():
                 break
@@ -386,7 +384,7 @@ def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PER
         rest = scratch.written(rest.join(tried, ["x", "y"], "left_anti"), "pairs")
         more = not rest.isEmpty()
         if more:
-            links = links.unionByName(scratch.written(verified(rest, texts, scratch, n, percent), "links"))
+            links = links.unionByName(scratch.written(verified(rest, texts, n, percent), "links"))
 
         # Documents to classes to components; a repeated identifier ties the classes that it is in.
         ids = table.join(classes.select("a", "b", "c"), ["a", "b"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("c")).alias("node"))
@@ -407,8 +405,7 @@ def _components(links: DataFrame, scratch: Scratch) -> DataFrame:
 
 def _gaps(open_: DataFrame) -> int:
     """How many pairs the lists would bring together across their gaps, at most."""
-    sizes = open_.groupBy("token").agg(F.count("*").alias("k"), F.count(F.when(F.col("component") != F.col("largest"), 1)).alias("out"))
-    return sizes.agg(F.sum(F.col("k") * F.col("out"))).first()[0] or 0
+    return open_.filter("component <> largest").agg(F.sum("total")).first()[0] or 0
 
 
 def _pairs(found: DataFrame) -> DataFrame:
