@@ -325,21 +325,59 @@ def merge_grid_parcels(parcels: DataFrame, step: float = 500.0) -> DataFrame:
     return parcels.select("la", "id", "edges").groupBy("la").applyInPandas(merge, schema)
 
 
+def _hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """The corners of the points' convex hull (monotone chain)."""
+    points = sorted(set(points))
+    if len(points) < 3:
+        return points
+    out: list[tuple[float, float]] = []
+    for way in (points, points[::-1]):
+        chain: list[tuple[float, float]] = []
+        for p in way:
+            while len(chain) > 1 and (chain[-1][0] - chain[-2][0]) * (p[1] - chain[-2][1]) <= (chain[-1][1] - chain[-2][1]) * (p[0] - chain[-2][0]):
+                chain.pop()
+            chain.append(p)
+        out += chain[:-1]
+    return out
+
+
+def diameters(rows: DataFrame, keys: list[str], parts: int = 64) -> DataFrame:
+    """(keys, d): the greatest distance between two points (x, y) of a key.
+
+    It lies between two corners of the convex hull, and the corners of a whole are corners of its parts: each
+    key's points are dealt into parts, hulls of parts are merged, and only hull corners are compared.
+    """
+    kept = rows.select(*keys, F.col("x").cast("double"), F.col("y").cast("double")).filter("x is not null and y is not null")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.select(*keys).schema)
+
+    def corners(frame: pd.DataFrame) -> pd.DataFrame:
+        found = _hull(list(zip(frame["x"], frame["y"])))
+        return pd.DataFrame({**{k: [frame[k].iloc[0]] * len(found) for k in keys}, "x": [p[0] for p in found], "y": [p[1] for p in found]})
+
+    def widest(frame: pd.DataFrame) -> pd.DataFrame:
+        found = _hull(list(zip(frame["x"], frame["y"])))
+        d = max((((a - c) ** 2 + (b - e) ** 2) ** 0.5 for i, (a, b) in enumerate(found) for c, e in found[:i]), default=0.0)
+        return pd.DataFrame({**{k: [frame[k].iloc[0]] for k in keys}, "d": [d]})
+
+    dealt = kept.withColumn("part", F.pmod(F.xxhash64("x", "y"), F.lit(parts)))
+    some = dealt.groupBy(*keys, "part").applyInPandas(corners, f"{schema}, x double, y double")
+    return some.groupBy(*keys).applyInPandas(widest, f"{schema}, d double")
+
+
 def centroids(streets: DataFrame, *keys: str, most: float | None = None) -> DataFrame:
-    """Mean of street middles (x, y) and their number per key; with ``most``, only where they lie close together.
+    """Mean of street middles (x, y) and their number per key; with ``most``, only where they lie less than that apart.
 
-    The diameter is that of the box around them (an upper bound); keys whose box is too wide are
-    settled by their exact greatest distance, from the points on their hulls' extremes in 16 directions.
+    The diagonal of the box around them settles most keys; the others are settled by their exact
+    greatest distance.
     """
     rows = streets.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     out = rows.groupBy(*keys).agg(F.avg("x").alias("x"), F.avg("y").alias("y"), F.count("*").alias("n_usrn"))
     if most is None:
         return out
     spans = rows.groupBy(*keys).agg((F.max("x") - F.min("x")).alias("w"), (F.max("y") - F.min("y")).alias("h"))
-    narrow = spans.filter(F.sqrt(F.col("w") * F.col("w") + F.col("h") * F.col("h")) < most).select(*keys)
-    unsure = spans.filter((F.sqrt(F.col("w") * F.col("w") + F.col("h") * F.col("h")) >= most) & (F.col("w") < most) & (F.col("h") < most)).select(*keys)
-    # Boxes under ``most`` on both sides: distinct points there, pair by pair, are few; the rest are surely too wide.
-    pts = rows.join(unsure, list(keys), "left_semi").select(*keys, "x", "y").distinct()
-    far = pts.join(pts.withColumnsRenamed({"x": "x2", "y": "y2"}), list(keys)).groupBy(*keys).agg(F.max(G.distance(F.col("x"), F.col("y"), F.col("x2"), F.col("y2"))).alias("d"))
+    diagonal = F.sqrt(F.col("w") * F.col("w") + F.col("h") * F.col("h"))
+    narrow = spans.filter(diagonal < most).select(*keys)
+    unsure = spans.filter((diagonal >= most) & (F.col("w") < most) & (F.col("h") < most)).select(*keys)
+    far = diameters(rows.join(unsure, list(keys), "left_semi"), list(keys))
     good = narrow.unionByName(far.filter(F.col("d") < most).select(*keys))
     return out.join(good, list(keys), "left_semi")

@@ -176,7 +176,11 @@ def _register(t: DataFrame) -> DataFrame:
     return t.withColumnsRenamed({"title_number": "Title Number", "tenure": "Tenure", "property_address": "Property Address", "district": "District", "postcode": "Postcode"}).drop("address_line")
 
 
-@query("titles")
+_TWO = "len(regexp_extract_all(property_address, '\\b[A-Z][A-HJ-Y]?[0-9]{1,2} [0-9][A-Z]{2}\\b')) = 2"
+
+
+@query("titles", f"""SELECT row_id, split_part(property_address, ' (', 1) AS AddressLine, regexp_extract(property_address, '\\(([^()]*)\\)', 1) AS PostalCode FROM titles WHERE {_TWO}
+  UNION ALL SELECT row_id, regexp_extract(property_address, '\\) and (2 [^(]*) \\(', 1), 'AB1 1CD' FROM titles WHERE {_TWO}""")
 def e4_split_multi_postcode(spark, t):
     rows = titles.split_multi_postcode(
         _register(t).withColumn("n", K.count_postcodes(F.col("`Property Address`"))).filter("n >= 2"))
@@ -582,17 +586,26 @@ def j7_name_usrns(spark, g, r):
     return spatial.name_usrns(g.select(F.col("id").alias("USRN"), "x", "y"), r)
 
 
-@query("roads")
+@query("roads", """WITH l AS (SELECT *, CAST(greatest(round_even(sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) / 25, 0), 1) AS BIGINT) AS n FROM roads)
+  SELECT id, round(x1 + (k - 0.5) / n * (x2 - x1), 4) AS x, round(y1 + (k - 0.5) / n * (y2 - y1), 4) AS y FROM l, range(1, 100000) r(k) WHERE k <= n""")
 def e8_sample_line_points(spark, r):
     line = F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))
-    return spatial.sample_line_points(r.select(F.col("id").alias("USRN"), line.alias("line")))
+    points = spatial.sample_line_points(r.select(F.col("id").alias("USRN"), line.alias("line")))
+    return points.select("id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
 
 
-@query("roads")
+@query("roads", """WITH l AS (SELECT *, CAST(greatest(round_even(sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) / 25, 0), 1) AS BIGINT) AS n FROM roads),
+  p AS (SELECT id AS USRN, k, x1 + 3 + (k - 0.5) / n * (x2 - x1) AS x, y1 + (k - 0.5) / n * (y2 - y1) AS y FROM l, range(1, 100000) r(k) WHERE k <= n),
+  t AS (SELECT p.*, r.name, r.id, r.x1, r.y1, r.x2, r.y2, greatest(0, least(1, ((x - r.x1) * (r.x2 - r.x1) + (y - r.y1) * (r.y2 - r.y1)) / ((r.x2 - r.x1) ** 2 + (r.y2 - r.y1) ** 2))) AS t FROM p, roads r),
+  v AS (SELECT USRN, upper(name) AS street FROM t WHERE sqrt((x - x1 - t * (x2 - x1)) ** 2 + (y - y1 - t * (y2 - y1)) ** 2) <= 15
+    QUALIFY row_number() OVER (PARTITION BY USRN, k ORDER BY sqrt((x - x1 - t * (x2 - x1)) ** 2 + (y - y1 - t * (y2 - y1)) ** 2), id) = 1),
+  s AS (SELECT USRN, street, count(*) AS n, sum(count(*)) OVER (PARTITION BY USRN) AS total FROM v GROUP BY USRN, street QUALIFY row_number() OVER (PARTITION BY USRN ORDER BY n DESC, street) = 1)
+  SELECT USRN, 'Local Road' AS oml_classification, 1.0::DOUBLE AS oml_class_agreement, street, n AS street_n, round(n / total, 6) AS street_agreement, NULL AS oml_road_number FROM s""")
 def j8_link_oml(spark, r):
     line = F.array(F.struct((F.col("x1") + 3).alias("x"), F.col("y1").alias("y")), F.struct((F.col("x2") + 3).alias("x"), F.col("y2").alias("y")))
     roads = r.withColumns({"classification": F.lit("Local Road"), "distinctive_name": F.col("name"), "road_number": F.lit(None).cast("string")})
-    return spatial.link_oml(r.select(F.col("id").alias("USRN"), line.alias("line")), roads)
+    out = spatial.link_oml(r.select(F.col("id").alias("USRN"), line.alias("line")), roads)
+    return out.withColumn("street_agreement", F.round("street_agreement", 6))
 
 
 @query("geocodes squares uprns", f"""WITH i AS (SELECT u.UPRN, s.id AS osm_id FROM uprns u JOIN squares s ON {_IN} QUALIFY count(*) OVER (PARTITION BY u.UPRN) = 1),
@@ -618,10 +631,16 @@ def j12_merge_parcels(spark, s):
     return spatial.merge_grid_parcels(both.withColumn("edges", F.array(p(x, y, X, y), p(X, y, X, Y), p(X, Y, x, Y), p(x, Y, x, y)))).select("la", "id", "n", "area", F.size("edges").alias("edges"))
 
 
-@query("roads squares")
+@query("roads squares", """WITH t AS (SELECT s.name || '|' || upper(r.name) AS key, r.id, x1, y1, x2 - x1 AS dx, y2 - y1 AS dy, greatest(0, (x0 - x1) / (x2 - x1), (y0 - y1) / (y2 - y1)) AS a,
+    least(1, (x0 + side - x1) / (x2 - x1), (y0 + side - y1) / (y2 - y1)) AS b FROM roads r, squares s),
+  p AS (SELECT key, id AS USRN, x1 + (a + b) / 2 * dx AS x, y1 + (a + b) / 2 * dy AS y FROM t WHERE a < b),
+  m AS (SELECT key, avg(x) AS mx, avg(y) AS my, count(DISTINCT USRN) AS n_usrn FROM p GROUP BY key)
+  SELECT key, round(x, 4) AS x, round(y, 4) AS y, n_usrn, 2024::BIGINT AS last_seen_year FROM p JOIN m USING (key)
+  QUALIFY row_number() OVER (PARTITION BY key ORDER BY round((x - mx) ** 2 + (y - my) ** 2, 6), x, y) = 1""")
 def j14_streets_in_postcodes(spark, r, s):
-    return spatial.streets_in_postcodes(r.select(F.col("id").cast("long").alias("USRN"), F.upper("name").alias("street"), "x1", "y1", "x2", "y2"),
-                                        _square(s).select(F.col("name").alias("postcode"), F.lit(2024).alias("year"), "edges"))
+    out = spatial.streets_in_postcodes(r.select(F.col("id").cast("long").alias("USRN"), F.upper("name").alias("street"), "x1", "y1", "x2", "y2"),
+                                       _square(s).select(F.col("name").alias("postcode"), F.lit(2024).alias("year"), "edges"))
+    return out.select("key", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), "n_usrn", F.col("last_seen_year").cast("long").alias("last_seen_year"))
 
 
 @query("geocodes", """WITH p AS (SELECT CAST(id % 7 AS VARCHAR) AS key, id % 5 AS USRN, 2015 + 5 * (id % 2) AS year, x, y FROM geocodes), n AS (SELECT * FROM p QUALIFY year = max(year) OVER (PARTITION BY key)),
@@ -817,7 +836,7 @@ def b10_batches(spark, o):
     return sinks.batches(o.select("o_orderkey"), 1000, "o_orderkey")
 
 
-@query("uprns")
+@query("uprns", """SELECT '{"type":"Feature","properties":{"UPRN":' || UPRN || ',"district":"' || district || '"},"geometry":{"type":"Point","coordinates":[' || round_even(LONGITUDE, 6) || ',' || round_even(LATITUDE, 6) || ']}}' AS value FROM uprns""")
 def b5_geojson_lines(spark, u):
     return sinks.geojson_lines(u.select("UPRN", "LONGITUDE", "LATITUDE", "district"))
 

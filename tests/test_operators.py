@@ -291,3 +291,14 @@ def test_fuzzy_audit_gets_places(spark, monkeypatch):
     monkeypatch.setattr(fuzzy, "match_fuzzy", lambda rows, table, places=None: given.append(places) or empty)
     plans.QUERIES["m7_fuzzy_audit"](spark, SF)
     assert given[0] is not None and given[0].filter("x is not null and y is not null").count() > 0
+
+
+def test_diameters_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(f"k{i % 7}", float(rng.randrange(50)), float(rng.randrange(50))) for i in range(400)] + [("one", 1.0, 2.0), ("two", 0.0, 0.0), ("two", 3.0, 4.0), ("line", 0.0, 0.0), ("line", 1.0, 1.0), ("line", 2.0, 2.0)]
+    got = {r["key"]: r["d"] for r in spatial.diameters(spark.createDataFrame(rows, "key string, x double, y double"), ["key"], parts=3).collect()}
+    for key in {k for k, _, _ in rows}:
+        points = [(x, y) for k, x, y in rows if k == key]
+        assert got[key] == pytest.approx(max(((a - c) ** 2 + (b - d) ** 2) ** 0.5 for a, b in points for c, d in points))
