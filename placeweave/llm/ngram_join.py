@@ -234,8 +234,10 @@ def texts_of(texts: DataFrame, ids: DataFrame, size: int = WANTED[0]) -> DataFra
     return texts.filter("id is not null").mapInArrow(some, "id long, text string")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``pairs`` (x, y) whose texts' sets reach the threshold."""
+    ids = pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id"))).distinct()
+    some = scratch.written(texts_of(texts, ids), "paired")
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}  # the joins leave pairs of one text side by side
 
@@ -251,13 +253,13 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int = WORDS, percent: int =
             good = [similar(of(i, a.as_py()), of(j, b.as_py()), percent) for i, j, a, b in zip(x, y, batch.column("s"), batch.column("t"))]
             yield batch.select(["x", "y"]).filter(pa.array(good, pa.bool_()))
 
-    left = pairs.join(texts.select(F.col("id").alias("x"), F.col("text").alias("s")), "x")
-    both = left.join(texts.select(F.col("id").alias("y"), F.col("text").alias("t")), "y")
+    left = pairs.join(some.select(F.col("id").alias("x"), F.col("text").alias("s")), "x")
+    both = left.join(some.select(F.col("id").alias("y"), F.col("text").alias("t")), "y")
     return both.select("x", "y", "s", "t").mapInArrow(check, "x long, y long").distinct()
 
 
 def shared_postings(classes: DataFrame, tokens: DataFrame, size: int = WANTED[0]) -> DataFrame:
-    """(token, c, n, i, sketch) for the prefix shingles that are in ``tokens`` (token), and some others."""
+    """(token, c, i) for the prefix shingles that are in ``tokens`` (token), and some others."""
     bits = classes.sparkSession.sparkContext.broadcast(_wanted(tokens.select(F.col("token").alias("id")), size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,10 +270,9 @@ def shared_postings(classes: DataFrame, tokens: DataFrame, size: int = WANTED[0]
             i = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             keep = _marked(bits.value, token)
             row = pa.array(np.repeat(np.arange(len(sizes)), sizes)[keep])
-            columns = [pa.array(token[keep], pa.int64()), batch.column("c").take(row), batch.column("n").take(row), pa.array(i[keep], pa.int64()), batch.column("sketch").take(row)]
-            yield pa.RecordBatch.from_arrays(columns, names=["token", "c", "n", "i", "sketch"])
+            yield pa.RecordBatch.from_arrays([pa.array(token[keep], pa.int64()), batch.column("c").take(row), pa.array(i[keep], pa.int64())], names=["token", "c", "i"])
 
-    return classes.select("c", "n", "prefix", "sketch").mapInArrow(run, "token long, c long, n long, i long, sketch array<long>")
+    return classes.select("c", "prefix").mapInArrow(run, "token long, c long, i long")
 
 
 def _near(percent: int) -> Column:
@@ -312,8 +313,7 @@ def _members(classes: DataFrame, scratch: Scratch, bits: int) -> DataFrame:
     lists = who.groupBy("k", "who", "too").agg(F.min("token").alias("token")).select("token", F.lit(True).alias("stays"))
     # All shared shingles of a class count, those of dropped lists too; it has at most as many as its prefix is long.
     kept = members.join(lists, "token", "left").groupBy("c").agg(
-        F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.count("*").alias("s"),
-        F.sort_array(F.collect_list(F.when(F.col("stays"), F.struct("i", "token")))).alias("own"))
+        F.count("*").alias("s"), F.sort_array(F.collect_list(F.when(F.col("stays"), F.struct("i", "token")))).alias("own")).join(classes.select("c", "n", "sketch"), "c")
     earlier = F.slice("own", F.lit(1), F.least(F.col("r"), F.lit(FIRST)))["token"].alias("earlier")
     rows = kept.select("c", "n", "s", "sketch", "own", F.posexplode("own").alias("r", "p"))
     return scratch.written(rows.select("p.token", "c", "n", "p.i", "s", *[F.col("sketch")[k].alias(f"k{k}") for k in range(SKETCH)], earlier), "members")
@@ -362,12 +362,12 @@ def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PER
 
         # First each list's members against a few of them; again with others, while that finds links and leaves many.
         tried = scratch.written(_stars(members, members, percent, 0), "pairs")
-        links = scratch.written(verified(tried, texts, n, percent), "links")
+        links = scratch.written(verified(tried, texts, scratch, n, percent), "links")
         tied, salt, limit = _components(links, scratch), STARS, FEW * members.count()
         open_ = scratch.written(_open(members, tied), "open")
         while _gaps(open_) > limit:
             new = scratch.written(_stars(open_, open_.filter("component <> largest"), percent, salt).join(tried, ["x", "y"], "left_anti"), "pairs")
-            found = scratch.written(verified(new, texts, n, percent), "links")
+            found = scratch.written(verified(new, texts, scratch, n, percent), "links")
             tried, salt = tried.unionByName(new), salt + STARS
             if found.isEmpty():
                 break
@@ -384,7 +384,7 @@ def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PER
         rest = scratch.written(rest.join(tried, ["x", "y"], "left_anti"), "pairs")
         more = not rest.isEmpty()
         if more:
-            links = links.unionByName(scratch.written(verified(rest, texts, n, percent), "links"))
+            links = links.unionByName(scratch.written(verified(rest, texts, scratch, n, percent), "links"))
 
         # Documents to classes to components; a repeated identifier ties the classes that it is in.
         ids = table.join(classes.select("a", "b", "c"), ["a", "b"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("c")).alias("node"))

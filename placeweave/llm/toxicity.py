@@ -60,11 +60,11 @@ class Model:
 def fit(docs: list[np.ndarray], labels: np.ndarray, prior: float | None = None) -> Model:
     """Learn from texts as arrays of distinct buckets; ``prior``: the share of label 1 among all rows.
 
-    Without rows of both labels the model is the smoothed share of label 1.
+    Without rows of both labels the model is the smoothed share of label 1, which rejects nothing without any row.
     """
     n, n1 = len(labels), int(labels.sum())
     if n1 == 0 or n1 == n:
-        p = (n1 + 0.5) / (n + 1.0)
+        p = (n1 + 0.5) / (n + 2.0)
         return Model(math.log(p / (1 - p)), np.empty(0, "int64"), np.empty(0), np.empty((0, RANK)))
     prior = n1 / n if prior is None else prior
     df1, df0 = np.zeros(BUCKETS), np.zeros(BUCKETS)

@@ -493,3 +493,28 @@ def test_pipeline_stages(spark):
             assert after == {i for i, (_, c) in brute_components(rows).items() if i == c}
         docs = spark.createDataFrame(out.toPandas(), docs.schema)
     assert corpus_pipeline.run(spark, d).count() > 0
+
+
+def test_pipeline_stages_on_edge_cases(spark, tmp_path):
+    import corpus_pipeline
+
+    where = f"file://{tmp_path}"
+    spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, 1, 1), (4, None, None)], "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{where}/labels.parquet")
+    prose = "one two three four five six seven eight nine ten eleven twelve"
+    rows = EDGE + [(20, prose), (21, prose), (21, prose), (22, prose + " thirteen"), (None, prose), (2**60 + 1, "another text of more than ten words that stands all alone in here")]
+    docs = docs_of(spark, rows).withColumns({"kept": F.lit("clash"), "score": F.lit(1), "license": F.lit(None).cast("string")})
+    left = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, where)
+        left[name] = sorted(str(r["doc_id"]) for r in out.collect())
+        if name != "packing":
+            assert out.columns == docs.columns and out.schema["kept"].dataType.simpleString() == "string"
+        assert stage(spark, docs.limit(0), where).count() == 0
+    ids = sorted(str(i) for i, _ in rows)
+    assert left["toxicity"] == ids  # too few labels to tell any text from the others
+    assert left["quality_rules"] == sorted(["20", "21", "21", "22", "None", str(2**60 + 1)])
+    # Of equal texts the row with the smallest identifier stays.
+    assert left["exact_dedup"] == sorted(["1", "3", "4", "5", "7", "20", "22", "None", str(2**60 + 1)])
+    # Rows without identifier link with nothing; 20, 21 and 22 are one group.
+    assert left["ngram_jaccard_join"] == sorted(["1", "2", "3", "4", "5", "5", "7", "20", "None", "None", str(2**60 + 1)])
+    assert set(left["packing"]) == set(ids)
