@@ -7,6 +7,8 @@ reads them again, which cuts lineage and survives lost executors.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,19 +21,25 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _own(docs: DataFrame, added: list[str], judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The columns of ``docs`` of the rows that ``judge`` leaves; its own columns of the names that it adds are kept aside."""
+    aside = {c: f"__own_{c}" for c in docs.columns if c in added}
+    return judge(docs.withColumnsRenamed(aside)).select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model of ``labels`` scores under its cut; null texts count as empty, an empty table gives no rows."""
-    return toxicity.judge(docs, _labels(spark, sf_dir)).filter("predicted = 0").select(*docs.columns)
+    return _own(docs, ["held_out", "score", "predicted"], lambda d: toxicity.judge(d, _labels(spark, sf_dir)).filter("predicted = 0"))
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the cutoffs learnt from ``labels``; null and short texts do not."""
-    return quality_rules.judge(docs, _labels(spark, sf_dir)).filter("kept").select(*docs.columns)
+    return _own(docs, [*quality_rules.COUNTS, "kept"], lambda d: quality_rules.judge(d, _labels(spark, sf_dir)).filter("kept"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts, that with the smallest identifier."""
-    return exact_dedup.deduplicate(docs).filter("kept").select(*docs.columns)
+    return _own(docs, ["keep_id", "group_size", "kept", "text_sha256"], lambda d: exact_dedup.deduplicate(d).filter("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -159,9 +159,16 @@ def boundaries(spark: SparkSession, path: str, *properties: str) -> DataFrame:
     return df.withColumn("edges", F.flatten(F.transform(lines, edges))).drop("rings")
 
 
+#: The longest phrase list that is read: its terms pass through the driver.
+MOST_TERMS = 100_000
+
+
 def removal_list(spark: SparkSession, path: str) -> list[tuple[str | None, str | None]]:
-    """A phrase list (term, flag); some thousands of rows at most."""
-    return [tuple(r) for r in spark.read.csv(path, header=True, schema="term string, flag string").collect()]
+    """A phrase list (term, flag); one beyond ``MOST_TERMS`` is refused, not cut."""
+    rows = spark.read.csv(path, header=True, schema="term string, flag string").limit(MOST_TERMS + 1).collect()
+    if len(rows) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} phrases in {path}")
+    return [tuple(r) for r in rows]
 
 
 def place_names(df: DataFrame, kinds: list[str], column: str = "place") -> DataFrame:
