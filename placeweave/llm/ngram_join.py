@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .encoding import strings
-from .shared import Scratch, written
+from .shared import Scratch, small_batches, written
 
 WORDS, PERCENT = 5, 75
 #: Least and most counters of the rarity table, and bits of a table that says which sets are wanted: between them,
@@ -348,6 +348,7 @@ def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PER
     row's own doc_id).  doc_id is taken to name one text; if rows repeat it, all their classes are
     tied together by it.  An empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     with Scratch(docs.sparkSession) as scratch:
         rows = docs.count()
         bits = _sized(rows, WANTED)

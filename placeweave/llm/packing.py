@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .encoding import encoder, strings
+from .shared import small_batches
 
 WINDOW, GROUP_WINDOWS = 2048, 256
 #: The remainder of every so many-th document is cut into pieces of at most FILLER ids, which even
@@ -164,5 +165,6 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = WINDOW, w
         if ready or packer.left:
             yield rows(ready + packer.deal())
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     return rows.mapInArrow(run, PIECES + ", ids binary" * with_ids)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .encoding import strings
+from .shared import small_batches
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -255,5 +256,6 @@ def encode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
+    small_batches(docs.sparkSession)
     names = "doc_id long, n_tokens long, ids_crc32 long, parity boolean, round_trip boolean" + ", ids binary" * with_ids
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, names)

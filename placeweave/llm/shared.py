@@ -24,20 +24,20 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{top.rstrip('/')}/placeweave-{name}-{uuid.uuid4().hex}"
 
 
-#: Bytes of an Arrow batch while a table is written: what a Python worker holds at a time.
-BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-SMALL_BATCH = str(8 << 20)
+#: Bytes of an Arrow batch, which is what a Python worker holds at a time; Spark's default is eight times as much.
+BATCH_BYTES, SMALL_BATCH, DEFAULTS = "spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20), ("67108864b", "67108864", "64MB")
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python in small batches, unless the session says otherwise than Spark's default."""
+    if spark.conf.get(BATCH_BYTES, DEFAULTS[0]) in DEFAULTS:
+        spark.conf.set(BATCH_BYTES, SMALL_BATCH)
 
 
 def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """The rows as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
     spark, path = df.sparkSession, path or shared_dir(df.sparkSession, name)
-    before = spark.conf.get(BATCH_BYTES, None)
-    spark.conf.set(BATCH_BYTES, SMALL_BATCH)
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.unset(BATCH_BYTES) if before is None else spark.conf.set(BATCH_BYTES, before)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

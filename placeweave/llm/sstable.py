@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .encoding import encoder, strings
-from .shared import written
+from .shared import small_batches, written
 
 MAGIC = b"PWSST\x00\x00\x01"
 BLOCK_BYTES, RESTART, BLOOM_BITS, BLOOM_HASHES = 64 * 1024, 16, 10, 7
@@ -217,6 +217,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, keeps_space:
     estimate asks for it (``SHARD_BYTES`` each).  Empty input writes no shard.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     if shards is None:
         size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

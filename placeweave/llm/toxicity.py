@@ -21,12 +21,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from .shared import small_batches
+
 #: The sample: at most so many rows of either label are learnt from (those with the smallest hashes
 #: of their identifiers), so its size does not grow with the corpus.
 MAX_TOXIC, MAX_CLEAN = 4_000, 8_000
 BUCKETS, FEATURES, RANK, STEPS, RATE, DECAY, SEED = 1 << 20, 1024, 8, 300, 0.1, 1e-6, 7
 #: From this score a text counts as toxic.
 CUT = 0.3
+#: Words whose features a worker remembers.
+WORDS_KEPT = 100_000
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5)
 
@@ -151,7 +155,7 @@ def scorer(model: Model):
     @pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            if len(cache) > 500_000:
+            if len(cache) > WORDS_KEPT:
                 cache.clear()
             features = []
             for text in texts:
@@ -171,6 +175,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Each row is scored by its whole text alone; null texts count as empty.  Other columns stay, rows that repeat an
     identifier are scored each, and an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     score = scorer(train(docs, labels))
     rows = docs.drop("held_out", "score", "predicted").withColumns({"held_out": held_out(), "score": score(F.col("text"))})
     return rows.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
