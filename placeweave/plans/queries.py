@@ -622,7 +622,7 @@ def j17_area_length(spark, s):
     return q.select("id", G.area(F.col("edges")).alias("area"), G.length(F.col("edges")).alias("perimeter"))
 
 
-@query("squares")
+@query("squares", "SELECT 'la' AS la, id * 2 AS id, 2 AS n, CAST(160 AS DOUBLE) AS area, 6 AS edges FROM squares")
 def j12_merge_parcels(spark, s):
     half = lambda x, w, k: s.select(F.lit("la").alias("la"), (F.col("id") * 2 + k).alias("id"), x.alias("x0"), F.col("y0"), w.alias("w"))
     both = half(F.lit(500.0) - 100, F.lit(100.0), 0).unionByName(half(F.lit(500.0), F.lit(60.0), 1))
