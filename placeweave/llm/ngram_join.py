@@ -39,7 +39,7 @@ from .shared import Scratch, small_batches, written
 
 WORDS, PERCENT = 5, 75
 #: Least and most counters of the rarity table, and bits of a table that says which sets are wanted: between them,
-#: so many for each document.
+#: so many for each document, or for each set that is wanted.
 COUNTERS, WANTED, EACH, BLOCKS = (1 << 21, 1 << 24), (1 << 24, 1 << 28), 64, 16
 #: Members of a list with which all its others are compared in a round; comparisons for each member, mere arithmetic, up to
 #: which no further round is worth its passes.
@@ -134,9 +134,9 @@ def _summed(parts: DataFrame) -> DataFrame:
     return step.groupBy("block").applyInPandas(add, "block int, counts binary")
 
 
-def _sized(docs: int, bounds: tuple[int, int]) -> int:
-    """A power of two within the bounds that grows with the number of documents."""
-    return min(bounds[1], max(bounds[0], 1 << (docs * EACH).bit_length()))
+def _sized(n: int, bounds: tuple[int, int]) -> int:
+    """A power of two within the bounds that grows with a number of documents, tokens or sets."""
+    return min(bounds[1], max(bounds[0], 1 << (n * EACH).bit_length()))
 
 
 def rarity(docs: DataFrame, text: str = "text", n: int = WORDS, counters: int = COUNTERS[0]) -> np.ndarray:
@@ -297,7 +297,7 @@ def _near(percent: int) -> Column:
 SIDES = {"c": "d", "n": "m", "i": "j", "s": "other_s", **{f"k{k}": f"o{k}" for k in range(SKETCH)}}
 
 
-def _members(classes: DataFrame, scratch: Scratch, bits: int) -> DataFrame:
+def _members(classes: DataFrame, scratch: Scratch) -> DataFrame:
     """The lists: a row for each class and prefix shingle that it shares with another class.
 
     token, c, n, the shingle's place i, the class's number s of shared shingles, its sketch k*, and
@@ -307,7 +307,8 @@ def _members(classes: DataFrame, scratch: Scratch, bits: int) -> DataFrame:
     # others are picked out by a table of bits before they are shuffled.
     tokens = classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("k"))
     often = scratch.written(tokens.filter("k > 1").select("token"), "often")
-    members = shared_postings(classes, often, bits).join(often, "token", "left_semi")
+    # So many bits for each token that the share of others that pass does not grow with the input.
+    members = shared_postings(classes, often, _sized(often.count(), WANTED)).join(often, "token", "left_semi")
     # Lists with the same members (the same count and hashes) give the same candidates: one of them stays.
     who = members.groupBy("token").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("c")).alias("who"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("too"))
     lists = who.groupBy("k", "who", "too").agg(F.min("token").alias("token")).select("token", F.lit(True).alias("stays"))
@@ -357,7 +358,7 @@ def join(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PER
         real = table.filter("n > 0 and doc_id is not null")
         # Equal sets: one row per class, its first document, prefix and sketch; combined before the shuffle.
         classes = scratch.written(real.groupBy("a", "b").agg(F.min("doc_id").alias("c"), *[F.first(x).alias(x) for x in ("n", "prefix", "sketch")]), "classes")
-        members = _members(classes, scratch, bits)
+        members = _members(classes, scratch)
         texts = _texts(docs, text).withColumnRenamed("doc_id", "id")
         texts = scratch.written(texts_of(texts, members.select(F.col("c").alias("id")).distinct(), bits), "texts")
 
