@@ -10,10 +10,16 @@ span left is compared only with the templates whose size allows a match.  Nothin
 A notice may also stand inside a longer line or be wrapped within a longer comment.  So each template has
 a few anchors, bigrams that few templates share; where one occurs among the lines that are no notices
 themselves, a window of the template's length is laid around it and compared in the same way.
+
+A notice with changed words may lack its anchors or hold them elsewhere.  A span that matches a template of
+m bigrams shares at least t / (2 - t) m of them, so it holds one of any m - that + 1.  Texts that hold one
+of the rarest so many, and that least number of all, get a window of the template's length at each word from which it
+takes in the least number.  So every window that matches is compared, whether it holds an anchor or not.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -69,6 +75,20 @@ def anchors(templates: dict[str, str], most: int = ANCHORS) -> list[tuple[str, s
     return out
 
 
+def prefixes(templates: dict[str, str], least: float = LEAST) -> list[tuple[str, list[str], list[str], int, int]]:
+    """(template, its rarest bigrams, all of them, how many of all a matching span shares at least, words of the
+    template): a matching span holds one of the rarest."""
+    sets = {name: bigrams(t) for name, t in templates.items()}
+    count = Counter(p for found in sets.values() for p in found)
+    out = []
+    for name, found in sorted(sets.items()):
+        need = max(math.ceil(least / (2 - least) * len(found) - 1e-9), 1)
+        rare = sorted(found, key=lambda p: (count[p], -len(p), p))[: len(found) - need + 1]
+        if found:
+            out.append((name, rare, found, need, len(re.sub("[^a-z0-9]+", " ", templates[name].lower()).split())))
+    return out
+
+
 def bigrams(text: str) -> list[str]:
     words = re.sub("[^a-z0-9]+", " ", text.lower()).split()
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
@@ -116,19 +136,35 @@ def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLA
     rows = rows.withColumn("__pairs", pairs).drop("__words")
     rows = rows.withColumn("__spans", F.filter(F.transform("__pairs", lambda p: F.struct(F.array_join(p["w"], " ").alias("s"), best(p).alias("b"))), lambda x: x["b"].isNotNull())).drop("__pairs")
 
-    # Windows: only texts that hold an anchor are cut into words.
+    # Windows: only texts that hold an anchor, or enough of a template's bigrams, are cut into words.
     places = anchors(templates)
     left = F.filter(F.transform(F.split("__clean", "\n"), lambda s: F.trim(s)), lambda s: (s != "") & ~F.array_contains(F.col("__spans")["s"], s))
-    held = F.exists(F.array(*map(F.lit, dict.fromkeys(p for _, p, _, _ in places))), lambda a: F.contains(F.col("__left"), a))
-    rows = rows.withColumn("__left", F.array_join(left, " ")).drop("__clean")
-    rows = rows.withColumn("__rest", F.when(held, F.split("__left", " "))).drop("__left")
-    spots = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(p).alias("pair"), F.lit(k).alias("before"), F.lit(n).alias("n")) for name, p, k, n in places])
+    holds = lambda a: F.contains(F.col("__left"), a)
+    held = F.exists(F.array(*map(F.lit, dict.fromkeys(p for _, p, _, _ in places))), holds)
+    whole = F.array(*[
+        F.struct(F.array(*map(F.lit, rare)).alias("rare"), F.array(*map(F.lit, found)).alias("grams"), F.lit(need).alias("need"), F.lit(n).alias("n"))
+        for _, rare, found, need, n in prefixes(templates, least)
+    ])
+    near = F.filter(whole, lambda t: F.exists(t["rare"], holds) & (F.size(F.filter(t["grams"], holds)) >= t["need"]))
+    rows = rows.withColumn("__left", F.array_join(left, " ")).drop("__clean").withColumn("__near", near)
+    rows = rows.withColumn("__rest", F.when((F.size("__near") > 0) | held, F.split("__left", " "))).drop("__left")
+    spots = F.array(*[F.struct(F.lit(p).alias("pair"), F.lit(k).alias("before"), F.lit(n).alias("n")) for _, p, k, n in places])
     grams = _pairs(F.col("__rest"))
-    at = F.flatten(F.transform(spots, lambda t: F.transform(
-        F.filter(F.transform(F.col("__grams"), lambda g, i: F.when(g == t["pair"], i)), lambda i: i.isNotNull()),
-        lambda i: F.struct(t["name"].alias("name"), F.slice(F.col("__rest"), F.greatest(i - t["before"], F.lit(0)) + 1, t["n"]).alias("w")))))
+    where = lambda is_one: F.filter(F.transform(F.col("__grams"), lambda g, i: F.when(is_one(g), i)), lambda i: i.isNotNull())
+    window = lambda i, n: F.struct(F.slice(F.col("__rest"), i + 1, n).alias("w"))
+    at = F.flatten(F.transform(spots, lambda t: F.transform(where(lambda g: g == t["pair"]), lambda i: window(F.greatest(i - t["before"], F.lit(0)), t["n"]))))
+
+    def starts(t: Column) -> Column:
+        """The words from which ``n`` words take in at least ``need`` bigrams of a template; ``at``: where those are."""
+        last = lambda j: F.get(t["at"], j + t["t"]["need"] - 1)
+        reach = t["t"]["n"] - 2
+        runs = F.transform(t["at"], lambda i, j: F.when(last(j) - i <= reach, F.sequence(F.greatest(last(j) - reach, F.lit(0)), i)))
+        return F.array_distinct(F.flatten(F.filter(runs, lambda r: r.isNotNull())))
+
+    found = F.transform(F.col("__near"), lambda t: F.struct(t.alias("t"), where(lambda g: F.array_contains(t["grams"], g)).alias("at")))
+    more = F.flatten(F.transform(found, lambda t: F.transform(starts(t), lambda i: window(i, t["t"]["n"]))))
     windows = F.transform(F.col("__at"), lambda x: F.struct(x["w"].alias("w"), _pairs(x["w"]).alias("g")))
-    rows = rows.withColumn("__grams", F.when(F.col("__rest").isNotNull(), grams)).withColumn("__at", F.when(F.col("__grams").isNotNull(), at)).drop("__grams", "__rest")
+    rows = rows.withColumn("__grams", F.when(F.col("__rest").isNotNull(), grams)).withColumn("__at", F.when(F.col("__grams").isNotNull(), F.concat(at, more))).drop("__grams", "__rest", "__near")
     rows = rows.withColumn("__inside", F.array_max(F.filter(F.transform(F.when(F.col("__at").isNotNull(), windows), best), lambda x: x.isNotNull())))
     rows = rows.withColumn("__best", F.greatest(F.array_max(F.col("__spans")["b"]), F.col("__inside")))
     return rows.select(

@@ -273,6 +273,37 @@ def test_license_scan(spark):
     assert tie["license"] == "b" and tie["n_notices"] == 1
 
 
+def test_license_windows_equal_every_window(spark):
+    """Notices with changed words, also at both anchors, inside long lines: as by a window at each word."""
+    rng = random.Random(6)
+    names, texts = sorted(license_scan.TEMPLATES), []
+    for i in range(120):
+        words = license_scan.TEMPLATES[names[i % len(names)]].lower().replace("-", " ").split()
+        for _ in range(rng.randrange(1 + len(words) // 8)):
+            at = rng.randrange(len(words))
+            words[at : at + rng.randrange(2)] = rng.choice([[], ["other"], ["one", "more"]])
+        texts.append(" ".join(rng.choices("abc", k=rng.choice([0, 3, 40])) + words + rng.choices("xyz", k=rng.choice([0, 40]))))
+    lost = license_scan.TEMPLATES["MIT-text"]
+    for _, pair, _, _ in [a for a in license_scan.anchors(license_scan.TEMPLATES) if a[0] == "MIT-text"]:
+        lost = lost.lower().replace(pair, pair.replace(" ", " quite "))
+    texts.append("a " * 150 + lost + " b" * 150)
+    sets = {n: set(license_scan.bigrams(t)) for n, t in license_scan.TEMPLATES.items()}
+    length = {n: words for n, _, _, _, words in license_scan.prefixes(license_scan.TEMPLATES)}
+
+    def dice(words, name):
+        own = [f"{a} {b}" for a, b in zip(words, words[1:])]
+        return 2 * len(set(own) & sets[name]) / (len(own) + len(sets[name])) if own else 0
+
+    got = {r["doc_id"]: r["dice"] for r in license_scan.scan(docs_of(spark, list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        words = re.sub("[^a-z0-9]+", " ", text.lower()).split()
+        line = max(dice(words, n) for n in sets)
+        best = max([0] + [dice(words[k : k + length[n]], n) for n in sets for k in range(len(words))])
+        if max(line, best) >= 0.8:
+            assert got[i] is not None and got[i] >= (line if line >= 0.8 else best) - 1e-12, (i, text)
+    assert got[120] is not None and got[120] >= 0.8
+
+
 # -- 7 SentencePiece
 
 def test_sentencepiece_parity_and_round_trip(spark):
