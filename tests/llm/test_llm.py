@@ -283,9 +283,9 @@ def test_license_windows_equal_every_window(spark):
             at = rng.randrange(len(words))
             words[at : at + rng.randrange(2)] = rng.choice([[], ["other"], ["one", "more"]])
         texts.append(" ".join(rng.choices("abc", k=rng.choice([0, 3, 40])) + words + rng.choices("xyz", k=rng.choice([0, 40]))))
-    lost = license_scan.TEMPLATES["MIT-text"]
+    lost = re.sub("[^a-z0-9]+", " ", license_scan.TEMPLATES["MIT-text"].lower())
     for _, pair, _, _ in [a for a in license_scan.anchors(license_scan.TEMPLATES) if a[0] == "MIT-text"]:
-        lost = lost.lower().replace(pair, pair.replace(" ", " quite "))
+        lost = lost.replace(pair, pair.replace(" ", " quite "))
     texts.append("a " * 150 + lost + " b" * 150)
     sets = {n: set(license_scan.bigrams(t)) for n, t in license_scan.TEMPLATES.items()}
     length = {n: words for n, _, _, _, words in license_scan.prefixes(license_scan.TEMPLATES)}
