@@ -35,7 +35,7 @@ FIRST = "\x00"
 #: Bytes that a generation of a cache may take, an entry's own cost, and the longest key that is kept.
 CACHE_BYTES, ENTRY_BYTES, LONG = 96 << 20, 200, 64
 assert sys.byteorder == "little" and array("I").itemsize == 4
-_ENCODERS: dict[tuple[str, bool], "PieceEncoder"] = {}
+_ENCODERS: dict[tuple[str, bool, int], "PieceEncoder"] = {}
 
 
 def _parts_at_spaces(text: str) -> bool:
@@ -163,9 +163,9 @@ def strings(column: Iterable) -> Iterator[str | None]:
     return (x.as_py() for x in column)
 
 
-def encoder(path: str, keeps_space: bool) -> PieceEncoder:
-    """The worker's encoder for a vocabulary file; kept between the tasks of a Python worker."""
-    key = (path, keeps_space)
+def encoder(path: str, keeps_space: bool, cache_bytes: int = CACHE_BYTES) -> PieceEncoder:
+    """The worker's encoder for a vocabulary file; kept, with its caches, between the tasks of a Python worker."""
+    key = (path, keeps_space, cache_bytes)
     if key not in _ENCODERS:
-        _ENCODERS[key] = PieceEncoder(path, keeps_space)
+        _ENCODERS[key] = PieceEncoder(path, keeps_space, cache_bytes)
     return _ENCODERS[key]

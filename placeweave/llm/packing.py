@@ -27,6 +27,8 @@ from .encoding import encoder, strings
 from .shared import small_batches
 
 WINDOW, GROUP_WINDOWS = 2048, 256
+#: Bytes of a generation of each of the encoder's caches, which idle workers hold while a later stage runs beside them.
+CACHE_BYTES = 24 << 20
 #: The remainder of every so many-th document is cut into pieces of at most FILLER ids, which even
 #: out the windows; the other remainders stay whole.
 FILLER, FILLER_EVERY = 64, 6
@@ -139,7 +141,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = WINDOW, w
     schema = pa.schema([(c.split()[0], pa.int64()) for c in PIECES.split(", ")] + [("ids", pa.binary())] * with_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer, keeps_space=False), np.array([end_id], dtype="<u4").tobytes()
+        encode, end = encoder(tokenizer, keeps_space=False, cache_bytes=CACHE_BYTES), np.array([end_id], dtype="<u4").tobytes()
         packer, base = Packer(capacity), TaskContext.get().partitionId() << 40
         held: dict[int, tuple] = {}
         number, ready = 0, []

@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -549,3 +551,20 @@ def test_pipeline_stages_on_edge_cases(spark, tmp_path):
     # Rows without identifier link with nothing; 20, 21 and 22 are one group.
     assert left["ngram_jaccard_join"] == sorted(["1", "2", "3", "4", "5", "5", "7", "20", "None", "None", str(2**60 + 1)])
     assert set(left["packing"]) == set(ids)
+
+
+def test_packing_leaves_little_in_idle_workers(spark):
+    rng = random.Random(5)
+    texts = [(i, " ".join("".join(rng.choices("abcdefghij", k=9)) for _ in range(10_000))) for i in range(50)]
+    packing.pack(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), P.path("word_bpe_49k.json"), end_id=1).count()
+
+    def held(batches):
+        from placeweave.llm import encoding
+
+        for _ in batches:
+            time.sleep(1)  # so that each idle worker gets a task
+            caches = [c for e in encoding._ENCODERS.values() for c in (e.words, e.pieces)]
+            yield pa.RecordBatch.from_pydict({"bytes": pa.array([sum(c.spent + getattr(c.older, "spent", 0) for c in caches)], pa.int64())})
+
+    most = max(r["bytes"] for r in spark.range(0, 4, 1, 4).mapInArrow(held, "bytes long").collect())
+    assert most < 64 << 20
