@@ -292,13 +292,14 @@ _CASCADE_VIEWS = "titles epc_dom epc_nondom sales known infill nsul uprns substa
 
 def _lookups(dom, non, sales, known, infill, nsul, uprns, substations=None, uprn_usrn=None, usrn_streets=None, boundary=None, by_postcode=None, by_district=None) -> dict[str, DataFrame]:
     sold = sales.join(uprns.select(F.col("UPRN").alias("uprn"), "LATITUDE", "LONGITUDE"), "uprn")
-    return {
+    found = {
         "epc": lookups.epc_lookup(dom, non), "price_paid": lookups.price_paid_lookup(sold), "building": lookups.building_lookup(dom, non, sold),
         "street": lookups.street_lookup(known, lookups.postcode_district(uprns)), "infill": lookups.infill_lookup(infill),
         "postcode_singleton": lookups.postcode_singletons(nsul, uprns),
         "substation": substations and lookups.substation_lookup(substations, uprns.select("UPRN", "district"), uprn_usrn, usrn_streets),
         "street_postcode_boundary": boundary, "street_centroid_postcode": by_postcode, "street_centroid": by_district,
     }
+    return {name: table for name, table in found.items() if table is not None}
 
 
 def _asked(t: DataFrame) -> DataFrame:
