@@ -44,8 +44,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest identifier of each group of linked documents stays; rows without identifier stay."""
-    found = ngram_join.join(docs).filter("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    found = ngram_join.join(docs).filter("doc_id is not null and doc_id <> component_id")
+    return ngram_join.without(docs, found.select(F.col("doc_id").alias("id")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -234,6 +234,23 @@ def texts_of(texts: DataFrame, ids: DataFrame, size: int = WANTED[0]) -> DataFra
     return texts.filter("id is not null").mapInArrow(some, "id long, text string")
 
 
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not in ``ids`` (id); those without identifier stay.
+
+    A table of bits says of most rows that they stay, and these are not shuffled, however many ids there are; the
+    rows that go, and a few others, are joined exactly.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(_wanted(ids, _sized(ids.count(), WANTED)))
+
+    @F.pandas_udf("boolean")
+    def marked(found: pd.Series) -> pd.Series:
+        return pd.Series(_marked(bits.value, found.to_numpy("int64")))
+
+    held = F.col("doc_id").isNotNull() & marked(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
+    some = docs.filter(held).join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
+    return docs.filter(~held).union(some.select(*docs.columns))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``pairs`` (x, y) whose texts' sets reach the threshold."""
     ids = pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id"))).distinct()

@@ -508,6 +508,34 @@ def test_components(spark):
 
 # -- pipeline
 
+def test_near_copies_go_without_a_shuffle_of_all_texts(spark):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    rows = [(i, " ".join("".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(400))) for i in range(600)]
+    rows += [(1000, rows[5][1] + " end"), (1001, rows[5][1]), (1001, rows[6][1]), (None, rows[5][1])]
+    docs = docs_of(spark, rows).repartition(4).localCheckpoint()
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def shuffled():
+        empty = spark.sparkContext._jvm.java.util.ArrayList()
+        stages = store.stageList(empty, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), empty)
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as in a table with many near copies
+    try:
+        out = corpus_pipeline.drop_near_copies(spark, docs, "")
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        start = shuffled()
+        left = sorted(str(r["doc_id"]) for r in out.collect())
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert left == sorted([str(i) for i in range(600) if i != 6] + ["None"])
+    assert shuffled() - start < sum(len(t) for _, t in rows) / 10
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
