@@ -321,6 +321,24 @@ def test_sentencepiece_parity_and_round_trip(spark):
     assert len(got) == len(EDGE) and all(r["parity"] and r["round_trip"] for r in got)
 
 
+def test_pieces_are_checked_in_lines_and_faults_are_found_one_by_one():
+    b = sentencepiece_bridge.Bridge(P.path("piece_bpe_32k.model"), cache_bytes=100_000)
+    origin, asked = b.origin, []
+
+    class Origin:
+        def encode(self, texts, **more):
+            asked.extend(texts)
+            return [ids + [5] * ("w777é" in t.split(" ")) for t, ids in zip(texts, origin.encode(texts, **more))]
+
+    b.origin = Origin()
+    texts = [" ".join(f"w{i}é" + ["", ".\nX", "\u3000½"][i % 3] for i in range(at, at + 100)) for at in range(0, 4000, 100)] + ["", "\n", "w1é w777é"]
+    for text, (raw, same, back) in zip(texts, b.encode(texts, block_chars=8000)):
+        assert np.frombuffer(raw, "<u4").tolist() == origin.encode(text)
+        assert back and same == ("w777é" not in text.split(" "))
+    assert len(asked) < 1000 and b.odd == {"w777é"}  # of 4,002 different pieces
+    assert b.spent == sum(sentencepiece_bridge.ENTRY_BYTES + len(p) + len(raw) for p, raw in b.young.items()) and len(b.old) + len(b.young) < 2000
+
+
 def test_unigram_models_are_rebuilt():
     spec = sentencepiece_bridge.Spec(pieces=[("<unk>", 0.0, 2), ("▁a", -1.0, 1), ("b", -2.0, 1), ("▁ab", -1.5, 1), ("a", -3.0, 1)], kind=1)
     assert sentencepiece_bridge.build(spec).encode("ab a", add_special_tokens=False).ids == [3, 1]
