@@ -61,19 +61,16 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(out, -30, 30)))
 
 
-def fit(docs: list[np.ndarray], labels: np.ndarray, prior: float | None = None) -> Model:
-    """Learn from texts as arrays of distinct buckets; ``prior``: the share of label 1 among all rows.
-
-    Without rows of both labels the model is the smoothed share of label 1, which rejects nothing without any row.
-    """
+def telling(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """The buckets, in order, that tell the labels apart best; ``docs`` without the others give the same ones."""
     n, n1 = len(labels), int(labels.sum())
     if n1 == 0 or n1 == n:
-        p = (n1 + 0.5) / (n + 2.0)
-        return Model(math.log(p / (1 - p)), np.empty(0, "int64"), np.empty(0), np.empty((0, RANK)))
-    prior = n1 / n if prior is None else prior
+        return np.empty(0, "int64")
     df1, df0 = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for d, y in zip(docs, labels):
         (df1 if y else df0)[d] += 1
+    used = np.flatnonzero(df1 + df0 >= 3)
+    df1, df0 = df1[used], df0[used]
 
     def part(a: np.ndarray, total: float, share: np.ndarray) -> np.ndarray:
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -81,9 +78,21 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, prior: float | None = None)
 
     share = (df1 + df0) / n
     ratio = 2 * (part(df1, n1, share) + part(df0, n - n1, share) + part(n1 - df1, n1, 1 - share) + part(n - n1 - df0, n - n1, 1 - share))
-    ratio[df1 + df0 < 3] = 0
-    best = np.lexsort((np.arange(BUCKETS), -ratio))[:FEATURES]
-    best = np.sort(best[ratio[best] > 10])
+    best = np.lexsort((used, -ratio))[:FEATURES]
+    return np.sort(used[best[ratio[best] > 10]])
+
+
+def fit(docs: list[np.ndarray], labels: np.ndarray, prior: float | None = None) -> Model:
+    """Learn from texts as arrays of distinct buckets; ``prior``: the share of label 1 among all rows.
+
+    Without rows of both labels the model is the smoothed share of label 1, which rejects nothing without any row.
+    """
+    n, n1 = len(labels), int(labels.sum())
+    if n1 == 0 or n1 == n:
+        p = (n1 + 0.5) / (n + 2.0)
+        return Model(math.log(p / (1 - p)), np.empty(0, "int64"), np.empty(0), np.empty((0, RANK)))
+    prior = n1 / n if prior is None else prior
+    best = telling(docs, labels)
     place = np.full(BUCKETS, -1, "int32")
     place[best] = np.arange(len(best))
     x = np.zeros((n, len(best)), "float32")
@@ -138,10 +147,20 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                 found.append(np.array(sorted(buckets), dtype="<u4").tobytes())
             yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": found})
 
-    # Identifiers that documents repeat give more rows; no more than the sample's bound are collected.
-    found = rows.mapInPandas(extract, "doc_id long, toxic int, terms binary")
-    got = found.orderBy(F.col("toxic").desc(), *order, F.xxhash64("terms")).limit(MAX_TOXIC + MAX_CLEAN).collect()
-    got = sorted(got, key=lambda r: (r["doc_id"], bytes(r["terms"])))
+    def narrow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if got := [batch for batch in batches if len(batch)]:
+            whole = pd.concat(got)
+            found = [np.frombuffer(t, "<u4") for t in whole["terms"]]
+            kept = np.zeros(BUCKETS, bool)
+            kept[telling(found, whole["toxic"].to_numpy("int64"))] = True
+            yield whole.assign(terms=[d[kept[d]].tobytes() for d in found])
+
+    # Identifiers that documents repeat give more rows; no more than the sample's bound are taken.  One task leaves
+    # only the features in them, so that the driver's share is small.
+    schema = "doc_id long, toxic int, terms binary"
+    found = rows.mapInPandas(extract, schema)
+    best = found.orderBy(F.col("toxic").desc(), *order, F.xxhash64("terms")).limit(MAX_TOXIC + MAX_CLEAN)
+    got = sorted(best.coalesce(1).mapInPandas(narrow, schema).collect(), key=lambda r: (r["doc_id"], bytes(r["terms"])))
     total = sum(counts.values())
     return fit([np.frombuffer(r["terms"], "<u4").astype("int64") for r in got], np.array([r["toxic"] for r in got], "int64"),
                counts.get(1, 0) / total if total and 0 < counts.get(1, 0) < total else None)

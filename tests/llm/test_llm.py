@@ -431,6 +431,22 @@ def test_toxicity(spark):
     assert toxicity.judge(docs.limit(0), frame).count() == 0
 
 
+def test_toxicity_driver_gets_features_only(spark, monkeypatch):
+    """Terms that are no features stay on the executors, and the model is that of the whole texts."""
+    texts = [(i, f"{'vile' if i % 3 == 0 else 'kind'} " + " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + k)}" for k in range(26))) for i in range(200)]
+    docs, labels = docs_of(spark, texts), spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in texts], "doc_id long, toxic int")
+    seen, fit = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda found, *a: seen.extend(found) or fit(found, *a))
+    model = toxicity.train(docs, labels)
+    learnt = [(i, t) for i, t in texts if zlib.crc32(str(i).encode()) % 4 != 2]
+    whole = [np.array(sorted({b for w in set(t.split()) for b in toxicity.terms(w)})) for _, t in learnt]
+    y = np.array([int(i % 3 == 0) for i, _ in learnt])
+    want = fit(whole, y, y.mean())
+    assert set(model.buckets) == set(want.buckets) >= set(toxicity.terms("vile")) | set(toxicity.terms("kind"))
+    assert (model.bias, model.weights.tolist(), model.vectors.tolist()) == (want.bias, want.weights.tolist(), want.vectors.tolist())
+    assert len(seen) == len(learnt) and {int(b) for d in seen for b in d} == set(want.buckets.tolist())
+
+
 def test_toxicity_scores_equal_the_pairwise_sum(spark, monkeypatch):
     rng = random.Random(11)
     rows = [(i, " ".join(rng.choice(["insult", "people", "garden", "river", "stone", "bread"]) + rng.choice(["", "s", "like"]) for _ in range(rng.randrange(1, 9)))) for i in range(400)]
